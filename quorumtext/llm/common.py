@@ -50,3 +50,22 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def fold(column: str, modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo modulus."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
+
+
+def whole_groups(batches, keys: list[str]):
+    """Arrow batches of a partition sorted by keys -> pandas frames that each hold whole groups. At most one group and one
+    batch are held, so groups must be of bounded size."""
+    import pandas as pd
+
+    rest = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        last = (batch[keys] == batch[keys].iloc[-1]).all(axis=1).to_numpy()
+        at = len(batch) - int(last[::-1].argmin()) if not last.all() else 0
+        if at:
+            yield batch.iloc[:at].reset_index(drop=True)
+        rest = batch.iloc[at:].reset_index(drop=True)
+    if rest is not None:
+        yield rest

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorumtext.llm import langid, mixing, packing, tokens
+from quorumtext.llm import langid, mixing, neardup, packing, tokens
 from quorumtext.llm.common import fold, read
 
 
@@ -38,3 +38,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_token_counts, op3_pack, op6_language)}
 ORACLE_SQL = {"op1_mix_sources": mixing.ORACLE}
+
+
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+QUERIES["op4_near_duplicates"] = op4_near_duplicates
