@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorumtext.llm import langid, mixing, neardup, packing, tokens
+from quorumtext.llm import langid, mixing, neardup, packing, substrings, tokens
 from quorumtext.llm.common import fold, read
 
 
@@ -45,3 +45,11 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_near_duplicates"] = op4_near_duplicates
+
+
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substrings.dedup_substrings(read(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_sentences", "n_removed", "text")
+
+
+QUERIES["op7_substrings"] = op7_substrings
