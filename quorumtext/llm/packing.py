@@ -45,21 +45,27 @@ def encoder(file: str):
     The merge engine of tiktoken gives the same ids several times as fast; texts that hold an added token or letters
     beyond Latin, where the two libraries' Unicode tables might differ, go to tokenizers itself.
     """
-    from tokenizers import Tokenizer
-
-    exact = Tokenizer.from_file(file)
-    spec = json.loads(exact.to_str())
-    usual = spec["model"]["type"] == "BPE" and not spec["normalizer"] and (spec["pre_tokenizer"] or {}).get("type") == "ByteLevel" and not spec["pre_tokenizer"]["add_prefix_space"]
+    with open(file, encoding="utf-8") as f:
+        spec = json.load(f)
+    before = spec["pre_tokenizer"] or {}
+    usual = spec["model"]["type"] == "BPE" and not spec["normalizer"] and before.get("type") == "ByteLevel" and not before["add_prefix_space"]
     added = [t["content"] for t in spec["added_tokens"]]
     if not usual:
-        return lambda texts: [e.ids for e in exact.encode_batch_fast(texts, add_special_tokens=False)]
+        return lambda texts: [e.ids for e in _exact(file).encode_batch_fast(texts, add_special_tokens=False)]
     import tiktoken
 
     alphabet = byte_alphabet()
     ranks = {bytes(alphabet[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in added}
     fast = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     odd = re.compile("|".join([*map(re.escape, added), "[^\\x00-ɏ‐-‧€]"]))
-    return lambda texts: [exact.encode(t, add_special_tokens=False).ids if odd.search(t) else fast.encode_ordinary(t) for t in texts]
+    return lambda texts: [_exact(file).encode(t, add_special_tokens=False).ids if odd.search(t) else fast.encode_ordinary(t) for t in texts]
+
+
+@lru_cache(2)
+def _exact(file: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(file)
 
 
 def cut(docs: DataFrame, vocabulary: str, room: int = 1024, separator: int = 0, keep_ids: bool = False) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorumtext.llm import langid, mixing, neardup, packing, substrings, tokens
+from quorumtext.llm import langid, mixing, neardup, packing, substrings, tokens, toxicity
 from quorumtext.llm.common import fold, read
 
 
@@ -53,3 +53,18 @@ def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_substrings"] = op7_substrings
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Classifier:
+    """Trained on the labelled documents outside the held-out third."""
+    labelled = docs.select("doc_id", "text").join(labels.where(fold("doc_id", 3) != 1).select("doc_id", "toxic"), "doc_id")
+    return toxicity.train(labelled.withColumnRenamed("doc_id", "id"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity_model(docs, read(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+QUERIES["op10_toxicity"] = op10_toxicity
