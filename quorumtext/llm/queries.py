@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorumtext.llm import langid, mixing, neardup, packing, substrings, tokens, toxicity
+from quorumtext.llm import htmltext, langid, mixing, neardup, packing, substrings, tokens, toxicity
 from quorumtext.llm.common import fold, read
 
 
@@ -68,3 +68,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_toxicity"] = op10_toxicity
+
+
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(read(spark, sf_dir, "pages"))
+
+
+QUERIES["op8_main_text"] = op8_main_text

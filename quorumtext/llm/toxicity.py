@@ -164,7 +164,7 @@ class Restorer(dict):
         return found
 
 
-def _fit(rows: list[np.ndarray], labels: np.ndarray, width: int, strength: float = 0.05, steps: int = 15) -> tuple[np.ndarray, float]:
+def _fit(rows: list[np.ndarray], labels: np.ndarray, width: int, strength: float = 0.01, steps: int = 15) -> tuple[np.ndarray, float]:
     """L2-regularized logistic regression on sets of features, by Newton steps; at most training_rows * FEATURES numbers."""
     x = np.zeros((len(rows), width + 1), "float32")
     x[:, width] = 1
