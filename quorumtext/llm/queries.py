@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorumtext.llm import htmltext, langid, mixing, neardup, packing, substrings, tokens, toxicity
+from quorumtext.llm import htmltext, langid, mixing, neardup, packing, substrings, syncmers, tokens, toxicity
 from quorumtext.llm.common import fold, read
 
 
@@ -75,3 +75,10 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_main_text"] = op8_main_text
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edit_study(read(spark, sf_dir, "documents"))
+
+
+QUERIES["op9_fingerprints"] = op9_fingerprints
