@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorumtext.llm import htmltext, langid, mixing, neardup, packing, substrings, syncmers, tokens, toxicity
+from quorumtext.llm import embeddings, htmltext, langid, mixing, neardup, packing, substrings, syncmers, tokens, toxicity
 from quorumtext.llm.common import fold, read
 
 
@@ -82,3 +82,10 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_fingerprints"] = op9_fingerprints
+
+
+def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+QUERIES["op5_near_vectors"] = op5_near_vectors
