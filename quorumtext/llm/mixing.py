@@ -111,11 +111,12 @@ def training_order(docs: DataFrame, schedules: Sequence[Schedule] = SCHEDULES, s
 
     Documents that share an id share its plan row's copies; ids are expected to be unique here.
     """
-    plan = mix(docs, schedules, share, most).groupBy("doc_id").agg(*[F.first(c).alias(f"_{c}") for c in ("source_size", "target", "before", "size", "copies", "rank")])
-    plan = plan.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
-    middle = F.least(F.lit(1.0), (F.col("_before") + F.col("_copy") * F.col("_source_size") + F.col("_size") / 2) / F.col("_target"))
-    plan = plan.withColumn("rank", F.col("_rank")).withColumn("_position", _position(middle, schedules)).select(F.col("doc_id").alias("_id"), "_copy", "_position")
-    return docs.join(plan, F.col("doc_id").eqNullSafe(F.col("_id"))).orderBy("_position", "_id", "_copy").select(*docs.columns)
+    plan = mix(docs, schedules, share, most).groupBy("doc_id").agg(*[F.first(c).alias(c) for c in ("source_size", "target", "before", "size", "copies", "rank")])
+    plan = plan.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    middle = F.least(F.lit(1.0), (F.col("before") + F.col("copy") * F.col("source_size") + F.col("size") / 2) / F.col("target"))
+    plan = plan.select(F.col("doc_id").alias("id"), "copy", _position(middle, schedules).alias("position"))
+    rows = docs.select(F.col("doc_id").alias("key"), F.struct("*").alias("row"))  # so that no column of docs meets one of the plan
+    return rows.join(plan, F.col("key").eqNullSafe(F.col("id"))).orderBy("position", "id", "copy").select("row.*")
 
 
 ORACLE = r"""

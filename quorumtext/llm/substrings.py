@@ -109,19 +109,20 @@ def spans(docs: DataFrame, least_words: int) -> DataFrame:
 def removals(docs: DataFrame, least_words: int) -> DataFrame:
     """(doc_id, gone): for each document that loses sentences, the (number, hash) of its spans that stand elsewhere first."""
     found = spans(docs, least_words)
-    repeated = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
+    # written first, so that both joins below are plain ones whose hot keys Spark can split
+    repeated = materialize(found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "repeated")
     places = materialize(found.join(repeated, "hash").select("hash", "doc_id", "number"), "places")
-    first = places.groupBy("hash").agg(F.min(F.struct("doc_id", "number")).alias("first"))
+    first = materialize(places.groupBy("hash").agg(F.min(F.struct("doc_id", "number")).alias("first")), "first")
     later = places.join(first, "hash").where(F.struct("doc_id", "number") > F.col("first"))
     return later.groupBy("doc_id").agg(F.collect_list(F.struct("number", "hash")).alias("gone"))
 
 
 def dedup_substrings(docs: DataFrame, least_words: int = 15) -> DataFrame:
-    """docs' columns with text cleaned, and n_sentences, n_removed."""
-    gone = removals(docs, least_words).withColumnRenamed("doc_id", "_id")
-    joined = docs.join(gone, docs["doc_id"] == gone["_id"], "left").drop("_id")
-    names = ["_row", "_text", "_gone"]
+    """docs' columns with text cleaned, and n_sentences, n_removed (docs' own of these names come first)."""
     rest = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.col("doc_id").alias("_id"), F.struct(*rest).alias("_row"), F.col("text").alias("_text"))
+    gone = removals(docs, least_words).select(F.col("doc_id").alias("_gone_id"), F.col("gone").alias("_gone"))
+    packed = rows.join(gone, F.col("_id") == F.col("_gone_id"), "left").select("_row", "_text", "_gone")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of = Spans(least_words)
@@ -143,7 +144,6 @@ def dedup_substrings(docs: DataFrame, least_words: int = 15) -> DataFrame:
                 removed.append(int(dropped.sum()))
             yield pd.DataFrame({"_row": batch._row, "text": pd.Series(texts, dtype=object), "n_sentences": counts, "n_removed": removed})
 
-    packed = joined.select(F.to_json(F.struct(F.lit(0))).alias("_row") if not rest else F.struct(*rest).alias("_row"), F.col("text").alias("_text"), F.col("gone").alias("_gone"))
-    kind = packed.schema["_row"].dataType.simpleString() if rest else "string"
-    out = packed.select(*names).mapInPandas(run, f"_row {kind}, text string, n_sentences int, n_removed int")
+    kind = packed.schema["_row"].dataType.simpleString()
+    out = packed.mapInPandas(run, f"_row {kind}, text string, n_sentences int, n_removed int")
     return out.select(*[F.col("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns], "n_sentences", "n_removed")
