@@ -33,6 +33,17 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, column: str, name: str = "table") -> DataFrame:
+    """Write df to the shared folder as a table bucketed by column: later joins on that column don't shuffle it again."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"quorumtext_{name}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/quorumtext/{table}"
+    df.repartition(n, column).write.bucketBy(n, column).sortBy(column).option("path", path).saveAsTable(table)
+    _made.append((spark, path))
+    return spark.table(table)
+
+
 @atexit.register
 def _clean() -> None:
     for spark, path in _made:

@@ -1,20 +1,20 @@
 """Near-duplicate documents: a chosen-path similarity join on word shingles.
 
-1. Each text becomes its set of hashed five-word shingles, and the set a vector of 128 minwise tokens. Equal sets are one
-   class from here on, so exact copies cost nothing.
-2. Independent trees branch the classes: a node picks one or two of the 128 coordinates (1 / threshold on average, so that a
-   pair at the threshold is expected to stay together on one path), and sends each class to the child for its token there.
-   A child with one class ends; a small one is a leaf; a large one branches again. A node's size comes from a count, so a large
-   node is never gathered.
-3. In a leaf all pairs are compared by their tokens. Pairs that may reach the threshold (five standard errors below it) are
-   candidates; of those a leaf hands on a spanning forest, likeliest first, and also every other pair that a failed edge of the
-   forest could leave apart. Leaves that are still large at the last level are cut into blocks by hash, and the smallest class of
-   each block meets those of the others; five levels of equal tokens mean near copies, which such links hold together.
-4. Candidates are confirmed on the full sets. Links make components; pairs that the forest left out are confirmed too where they
-   lie between components.
+1. Each text becomes its set of hashed five-word shingles; the set becomes minwise tokens: PATHS of 32 bits for the tree and SKETCH of
+   8 bits for comparison. Equal sets are one class from here on, so exact copies cost nothing.
+2. Independent trees branch the classes: a node picks one or two of the path tokens (1 / threshold on average, so that a pair at the
+   threshold is expected to stay together on one path), and sends each class to the child for its token there. A child with one class
+   ends; a small one is a leaf; a large one branches again. A node's size comes from a count, so a large node is never gathered.
+   Nodes that are still large at the last level are cut into blocks by hash, and the smallest class of each block meets those of the
+   others; five levels of equal tokens mean near copies, which such links hold together.
+3. In a leaf or block all pairs are compared by their sketches. Of the pairs that may reach the threshold (3.5 standard errors below it)
+   it hands on a spanning forest, likeliest first: fewer pairs than classes. They are confirmed on the full sets, and the links make
+   components.
+4. An unsure edge of a forest that fails may leave classes apart that another pair would link. The members of such groups
+   that lie in different components meet once more with their full sets, group by group; no pair leaves the group but a link.
 
 Recall: a pair at similarity 0.75 shares a path of three levels in one tree with a chance of about 0.6, in one of `trees` = 8 with
-0.999; more similar pairs, more surely.
+0.999, and its sketch passes with 0.9998; more similar pairs, more surely.
 
 Defined cases: null, empty and blank text has an empty set and links with nothing; repeated rows and equal sets link; rows that
 share an id count as one document; a text of one to four words is one shingle; other columns are ignored; an empty table gives none.
@@ -32,15 +32,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorumtext.llm.common import materialize, whole_groups
+from quorumtext.llm.common import bucketed, materialize, whole_groups
 from quorumtext.llm.components import components
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-COORDINATES, TREES, LEVELS, LEAF, BLOCK = 128, 8, 5, 16, 128
+PATHS, SKETCH, TREES, LEVELS, LEAF, BLOCK = 48, 256, 8, 5, 16, 128
 KEPT_WORDS = 400_000
 _RNG = np.random.default_rng(20240229)
-MULTIPLIERS = _RNG.integers(1 << 63, size=COORDINATES, dtype="uint64") * np.uint64(2) + np.uint64(1)
-MASKS = _RNG.integers(1 << 63, size=COORDINATES, dtype="uint64")
+MULTIPLIERS = _RNG.integers(1 << 31, size=PATHS + SKETCH, dtype="uint32") * np.uint32(2) + np.uint32(1)
+MASKS = _RNG.integers(1 << 32, size=PATHS + SKETCH, dtype="uint32")
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -76,15 +76,20 @@ def shingles(text: str | None, words: Words, width: int = 5) -> np.ndarray:
     return np.unique(mixed(out + np.uint64(width)))
 
 
-def minwise(hashes: np.ndarray) -> np.ndarray:
-    best = np.full(COORDINATES, np.iinfo("uint64").max, "uint64")
-    for at in range(0, len(hashes), 1024):
-        np.minimum(best, ((hashes[None, at : at + 1024] ^ MASKS[:, None]) * MULTIPLIERS[:, None]).min(axis=1), out=best)
-    return (best >> np.uint64(32)).astype("uint32")
+def minwise(hashes: np.ndarray) -> tuple[bytes, bytes]:
+    """Path tokens and sketch of a set."""
+    best = np.full(PATHS + SKETCH, np.iinfo("uint32").max, "uint32")
+    short = (hashes >> np.uint64(32)).astype("uint32")
+    for at in range(0, len(short), 1024):
+        h = short[None, at : at + 1024] ^ MASKS[:, None]
+        h *= MULTIPLIERS[:, None]
+        h ^= h >> np.uint32(15)
+        np.minimum(best, h.min(axis=1), out=best)
+    return best[:PATHS].tobytes(), (mixed(best[PATHS:].astype("uint64")) >> np.uint64(56)).astype("uint8").tobytes()
 
 
 def signed(docs: DataFrame, width: int = 5) -> DataFrame:
-    """doc_id, n_shingles, key (of the set, null if empty), tokens (minwise, null if empty)."""
+    """doc_id, n_shingles, key (of the set), path, sketch; the last three null if the set is empty."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Words()
@@ -92,36 +97,39 @@ def signed(docs: DataFrame, width: int = 5) -> DataFrame:
             rows = []
             for doc_id, text in zip(batch.id, batch.text):
                 s = shingles(text, words, width)
-                rows.append((doc_id, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None, minwise(s).tobytes() if len(s) else None))
-            yield pd.DataFrame(rows, columns=["id", "n_shingles", "key", "tokens"])
+                rows.append((doc_id, len(s), *((hashlib.blake2b(s.tobytes(), digest_size=16).digest(), *minwise(s)) if len(s) else (None,) * 3)))
+            yield pd.DataFrame(rows, columns=["id", "n_shingles", "key", "path", "sketch"])
 
-    rows = docs.select(F.col("doc_id").cast("string").alias("id"), "text").mapInPandas(run, "id string, n_shingles long, key binary, tokens binary")
-    return rows.select(F.col("id").cast("long").alias("doc_id"), "n_shingles", "key", "tokens")
+    rows = docs.select(F.col("doc_id").cast("string").alias("id"), "text").mapInPandas(run, "id string, n_shingles long, key binary, path binary, sketch binary")
+    return rows.select(F.col("id").cast("long").alias("doc_id"), "n_shingles", "key", "path", "sketch")
 
 
 def branched(rows: DataFrame, threshold: float) -> DataFrame:
-    """(rep, node, tokens) -> (rep, node) of the children."""
+    """(rep, nodes, path) -> (rep, node) of the children of each node."""
     odd = int((1 / threshold - 1) * 1000)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            node = batch.node.to_numpy("int64").view("uint64")
-            tokens = np.frombuffer(b"".join(batch.tokens), "uint32").reshape(-1, COORDINATES)
-            made = []
+            sizes = batch.nodes.map(len).to_numpy()
+            node = np.concatenate([*batch.nodes, np.empty(0, "int64")]).astype("int64").view("uint64")
+            row = np.repeat(np.arange(len(batch)), sizes)
+            path = np.frombuffer(b"".join(batch.path), "uint32").reshape(-1, PATHS)
+            made, rep = [], batch.rep.to_numpy()
             for k in range(2):
                 pick = mixed(node + np.uint64((k + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
-                at = ((pick >> np.uint64(20)) % np.uint64(COORDINATES)).astype("int64")
+                at = ((pick >> np.uint64(20)) % np.uint64(PATHS)).astype("int64")
                 use = np.flatnonzero((pick % np.uint64(1000) < odd) & (at != first)) if k else np.arange(len(node))
                 first, at = at, at[use]
-                child = mixed(node[use] ^ mixed((tokens[use, at].astype("uint64") << np.uint64(8)) + at.astype("uint64") + np.uint64(1)))
-                made.append(pd.DataFrame({"rep": batch.rep.to_numpy()[use], "node": child.view("int64")}))
+                child = mixed(node[use] ^ mixed((path[row[use], at].astype("uint64") << np.uint64(8)) + at.astype("uint64") + np.uint64(1)))
+                made.append(pd.DataFrame({"rep": rep[row[use]], "node": child.view("int64")}))
             yield pd.concat(made, ignore_index=True)
 
-    return rows.mapInPandas(run, "rep long, node long")
+    return rows.select("rep", "nodes", "path").mapInPandas(run, "rep long, node long")
 
 
-def forest(a: np.ndarray, b: np.ndarray, likeness: np.ndarray, sure: float) -> tuple[list[int], list[int]]:
-    """Of candidate pairs in a group: a spanning forest, likeliest first, and the pairs that its unsure edges may leave apart."""
+def forest(a: np.ndarray, b: np.ndarray, likeness: np.ndarray, sure: float) -> tuple[list[int], set[int]]:
+    """Of the candidate pairs of a group: a spanning forest, likeliest first, and the members that its unsure edges may leave
+    apart though another pair would link them."""
     parent = {int(v): int(v) for v in np.concatenate((a, b))}
     kept, parts = [], len(parent)
     order = np.lexsort((b, a, -likeness))
@@ -146,134 +154,180 @@ def forest(a: np.ndarray, b: np.ndarray, likeness: np.ndarray, sure: float) -> t
 
     join(order[:split])
     if parts == 1 or split == len(order):
-        return kept, []
+        return kept, set()
     solid = {v: find(v) for v in parent}
     join(order[split:])
-    chosen = set(kept)
-    return kept, [int(i) for i in order[split:] if int(i) not in chosen and solid[int(a[i])] != solid[int(b[i])]]
+    chosen, open_ends = set(kept), set()
+    for i in order[split:]:
+        if int(i) not in chosen and solid[x := int(a[i])] != solid[y := int(b[i])]:
+            open_ends |= {x, y}
+    return kept, open_ends
 
 
 def compared(rows: DataFrame, keys: list[str], threshold: float) -> DataFrame:
-    """Groups (keys, rep, n_shingles, tokens) of bounded size -> candidate pairs a < b, tested first or only if need be."""
-    error = (threshold * (1 - threshold) / COORDINATES) ** 0.5
-    low, sure = threshold - 5 * error, threshold + 3 * error
+    """Groups (keys, rep, n_shingles, sketch) of bounded size -> forest edges (a < b, group null) and members left open
+    (a, b null, group)."""
+    error = (threshold * (1 - threshold) / SKETCH) ** 0.5
+    low, sure = threshold - 3.5 * error, threshold + 3 * error
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chunk in whole_groups(batches, keys):
             rep, n = chunk.rep.to_numpy(), chunk.n_shingles.to_numpy()
-            tokens = np.frombuffer(b"".join(chunk.tokens), "uint32").reshape(-1, COORDINATES)
+            sketch = np.frombuffer(b"".join(chunk.sketch), "uint8").reshape(-1, SKETCH)
             group = chunk.groupby(keys, sort=False).ngroup().to_numpy()
             starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True])))
-            found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            # row i of every group against the row d places on, for all groups at once
+            names = [f"{x}" for x in zip(*(chunk[k].to_numpy()[starts[:-1]].tolist() for k in keys))]
+            found: list[tuple[np.ndarray, ...]] = []
+            # each row against the one d places on, for all groups at once
             last = starts[1:][group] - 1
-            for d in range(1, int((np.diff(starts)).max(initial=1))):
+            for d in range(1, int(np.diff(starts).max(initial=1))):
                 i = np.flatnonzero(np.arange(len(rep)) + d <= last)
-                j = i + d
-                fit = np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j])
-                i, j = i[fit], j[fit]
+                i = i[np.minimum(n[i], n[i + d]) >= threshold * np.maximum(n[i], n[i + d])]
                 for at in range(0, len(i), 8192):
-                    x, y = i[at : at + 8192], j[at : at + 8192]
-                    like = (tokens[x] == tokens[y]).mean(axis=1)
-                    ok = like >= low
-                    found.append((x[ok], y[ok], like[ok]))
+                    x = i[at : at + 8192]
+                    like = ((sketch[x] == sketch[x + d]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
+                    ok = (like >= low) & (rep[x] != rep[x + d])
+                    found.append((x[ok], x[ok] + d, like[ok]))
             if not found:
                 continue
             x, y, like = (np.concatenate(z) for z in zip(*found))
-            a, b, of = np.minimum(rep[x], rep[y]), np.maximum(rep[x], rep[y]), group[x]
-            order = np.argsort(of, kind="stable")
-            a, b, like, of = a[order], b[order], like[order], of[order]
-            out = []
-            for at, to in zip(e := np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))) if len(of) else [], [*e[1:], len(of)]):
-                kept, rest = forest(a[at:to], b[at:to], like[at:to], sure)
-                out += [(a[at + k], b[at + k], True) for k in kept] + [(a[at + k], b[at + k], False) for k in rest]
-            yield pd.DataFrame(out, columns=["a", "b", "first"])
+            order = np.argsort(group[x], kind="stable")
+            a, b, like, of = np.minimum(rep[x], rep[y])[order], np.maximum(rep[x], rep[y])[order], like[order], group[x][order]
+            edges = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1], [True]))) if len(of) else []
+            out: list[tuple] = []
+            for at, to in zip(edges, edges[1:]):
+                kept, left = forest(a[at:to], b[at:to], like[at:to], sure)
+                out += [(int(a[at + k]), int(b[at + k]), None) for k in kept] + [(v, None, names[of[at]]) for v in sorted(left)]
+            yield pd.DataFrame({"a": [r[0] for r in out], "b": pd.array([r[1] for r in out], "Int64"), "group": pd.Series([r[2] for r in out], dtype=object)})
 
     grouped = rows.repartition(*keys).sortWithinPartitions(*keys, "rep")
-    return grouped.mapInPandas(run, "a long, b long, first boolean")
+    return grouped.mapInPandas(run, "a long, b long, group string")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, threshold: float, width: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold; where rows share an id, any of theirs."""
-    percent = round(threshold * 100)
-    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("doc_id"))
-    texts = ends.join(docs.select("doc_id", "text"), "doc_id").select("a", "b", "doc_id", "text")
+def reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common) > 0
 
-    def reach(x: np.ndarray, y: np.ndarray) -> bool:
-        common = len(np.intersect1d(x, y, assume_unique=True))
-        return 100 * common >= percent * (len(x) + len(y) - common) > 0
+
+def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold; where rows share an id, any of theirs."""
+    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("doc_id")).join(texts, "doc_id").select("a", "b", "doc_id", "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, last = Words(), (None, None)  # the sets of the pair's first document stay for the next pair
+        words, last = Words(), (None, None, None)  # the set of a pair's first document stays for the next pair
         rows = (r for batch in batches for r in zip(batch.a, batch.b, batch.doc_id, batch.text))
         for _, some in groupby(enumerate(groupby(rows, key=lambda r: r[:2])), key=lambda x: x[0] // 1000):
             out = []
             for _, ((a, b), members) in some:
                 sets: dict[int, list[np.ndarray]] = {a: [], b: []}
                 for _, _, doc_id, text in members:
-                    if doc_id == a == last[0] and last[1][0] == text:
-                        sets[a].append(last[1][1])
-                        continue
-                    sets[doc_id].append(shingles(text, words, width))
-                    if doc_id == a:
-                        last = (a, (text, sets[a][-1]))
-                if any(reach(x, y) for x in sets[a] for y in sets[b]):
+                    if doc_id != last[0] or text != last[1]:
+                        found = shingles(text, words, width)
+                        last = (a, text, found) if doc_id == a else last
+                    else:
+                        found = last[2]
+                    sets[doc_id].append(found)
+                if any(reaches(x, y, percent) for x in sets[a] for y in sets[b]):
                     out.append((a, b))
             yield pd.DataFrame(out, columns=["a", "b"])
 
-    return texts.repartition("a", "b").sortWithinPartitions("a", "b", "doc_id").mapInPandas(run, "a long, b long")
+    return ends.repartition("a", "b").sortWithinPartitions("a", "b", "doc_id").mapInPandas(run, "a long, b long")
+
+
+def met(members: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """Groups (group, a, component) of bounded size -> the links between different components, as a spanning forest."""
+    rows = members.join(texts, F.col("a") == F.col("doc_id")).select("group", "a", "component", "text")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = Words()
+        single = (r for batch in batches for r in zip(batch.group, batch.a, batch.component, batch.text))
+        for _, some in groupby(single, key=lambda r: r[0]):
+            ids, parts, sets = [], [], []
+            for _, a, part, text in some:
+                ids.append(a)
+                parts.append(part)
+                sets.append(shingles(text, words, width))
+            sizes = np.array([len(s) for s in sets])
+            values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], owner[order]
+            more = np.concatenate((values[1:] == values[:-1], [False]))
+            more[1:] |= values[1:] == values[:-1]  # hashes of one set alone join nothing
+            values, owner = values[more], owner[more]
+            column = np.cumsum(np.concatenate(([0], values[1:] != values[:-1]))) if len(values) else np.empty(0, "int64")
+            common = np.zeros((len(sets), len(sets)))
+            for at in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+                has = np.zeros((len(sets), 4096), "float32")
+                part = slice(*np.searchsorted(column, [at, at + 4096]))
+                has[owner[part], column[part] - at] = 1
+                common += has @ has.T
+            linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+            root = {p: p for p in parts}
+            out = []
+            for i, j in zip(*np.nonzero(np.triu(linked, 1))):
+                x, y = parts[i], parts[j]
+                while root[x] != x:
+                    x = root[x]
+                while root[y] != y:
+                    y = root[y]
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+            if out:
+                yield pd.DataFrame(out, columns=["a", "b"])
+
+    return rows.repartition("group").sortWithinPartitions("group", "a").mapInPandas(run, "a long, b long")
 
 
 def candidates(classes: DataFrame, threshold: float, trees: int) -> DataFrame:
-    """classes (rep, n_shingles, tokens) -> pairs a < b of reps, first or not."""
-    tokens = classes.select("rep", "n_shingles", "tokens")
-    roots = F.explode(F.transform(F.sequence(F.lit(1), F.lit(trees)), lambda t: F.xxhash64(t)))
-    nodes, pairs = tokens.select("rep", "tokens", roots.alias("node")), []
-    for level in range(1, LEVELS + 1):
+    """classes (rep, n_shingles, path, sketch; bucketed by rep) -> forest edges and open members of all leaves and blocks."""
+    sketches = classes.select("rep", "n_shingles", "sketch")
+    roots = F.transform(F.sequence(F.lit(1), F.lit(trees)), lambda t: F.xxhash64(t))
+    nodes, found = classes.select("rep", roots.alias("nodes"), "path"), []
+    for _ in range(LEVELS):
         children = materialize(branched(nodes, threshold), "nodes")
-        sizes = children.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        sizes = materialize(children.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
         children = materialize(children.join(sizes, "node"), "nodes")
         large = children.where(F.col("size") > LEAF)
-        small = children.where(F.col("size") <= LEAF).select("node", "rep").join(tokens, "rep")
-        pairs.append(materialize(compared(small, ["node"], threshold), "pairs"))
+        small = children.where(F.col("size") <= LEAF).select("node", "rep").join(sketches, "rep")
+        found.append(materialize(compared(small, ["node"], threshold), "pairs"))
         if large.isEmpty():
-            return _united(pairs)
-        nodes = large.select("rep", "node").join(tokens, "rep")
-    cut = large.withColumn("block", F.pmod(F.xxhash64("node", "rep"), F.ceil(F.col("size") / BLOCK)))
-    heads = cut.groupBy("node", "block").agg(F.min("rep").alias("rep")).select("node", "rep")
-    blocks = cut.select("node", "block", "rep").join(tokens, "rep")
-    pairs.append(materialize(compared(blocks, ["node", "block"], threshold), "pairs"))
-    meet = heads.join(cut.groupBy("node").agg(F.countDistinct("block").alias("blocks")).where("blocks > 1"), "node")
-    meet = meet.withColumn("block", F.pmod(F.xxhash64("rep"), F.ceil(F.col("blocks") / BLOCK))).select("node", "block", "rep").join(tokens, "rep")
-    pairs.append(materialize(compared(meet, ["node", "block"], threshold), "pairs"))
-    return _united(pairs)
-
-
-def _united(pairs: list[DataFrame]) -> DataFrame:
-    out = pairs[0]
-    for p in pairs[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("a", "b").agg(F.max("first").alias("first"))
+            break
+        nodes = large.select("rep", F.array("node").alias("nodes")).join(classes.select("rep", "path"), "rep")
+    else:
+        cut = large.withColumn("block", F.pmod(F.xxhash64("node", "rep"), F.ceil(F.col("size") / BLOCK)))
+        found.append(materialize(compared(cut.select("node", "block", "rep").join(sketches, "rep"), ["node", "block"], threshold), "pairs"))
+        heads = materialize(cut.groupBy("node", "block").agg(F.min("rep").alias("rep"), F.first("size").alias("size")), "heads").where(F.col("size") > BLOCK)
+        heads = heads.withColumn("block", F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / (BLOCK * BLOCK))))
+        found.append(materialize(compared(heads.select("node", "block", "rep").join(sketches, "rep"), ["node", "block"], threshold), "pairs"))
+    out = found[0].withColumn("from", F.lit(0))
+    for k, p in enumerate(found[1:], 1):
+        out = out.unionByName(p.withColumn("from", F.lit(k)))
+    return out
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.75, width: int = 5, trees: int = TREES) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id linked to it, over any number of links), kept."""
+    percent = round(threshold * 100)
     sets = materialize(signed(docs, width), "sets")
-    classes = materialize(
-        sets.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens")), "classes"
-    )
-    pairs = materialize(candidates(classes, threshold, trees), "pairs")
-
-    links = materialize(confirmed(pairs.where("first").select("a", "b"), docs, threshold, width).distinct(), "links")
+    firsts = [F.first(c).alias(c) for c in ("n_shingles", "path", "sketch")]
+    classes = sets.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), *firsts)
+    found = candidates(bucketed(classes.drop("key"), "rep", "classes"), threshold, trees)
+    pairs = materialize(found.where("b IS NOT NULL").select("a", "b").distinct(), "pairs")
+    left = found.where("b IS NULL").select(F.concat_ws("/", "from", "group").alias("group"), "a")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(left.select(F.col("a").alias("doc_id"))).distinct()
+    # whether the wanted ids happen to be few must not change how texts move from one size to the next
+    texts = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.hint("merge"), "doc_id", "left_semi"), "texts")
+    links = materialize(confirmed(pairs, texts, percent, width).distinct(), "links")
     named = components(links.toDF("u", "v"))
-    a, b = (named.select(F.col("v").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab")
-    apart = pairs.where("NOT first").join(a, "a", "left").join(b, "b", "left").where("coalesce(of_a, a) <> coalesce(of_b, b)").select("a", "b")
-    apart = materialize(apart, "pairs")
-    if not apart.isEmpty():
-        more = materialize(confirmed(apart, docs, threshold, width).distinct(), "links")
-        if not more.isEmpty():
-            named = components(links.unionByName(more).toDF("u", "v"))
-    named = classes.select("key", "rep").join(named.withColumnRenamed("v", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component"))
-    out = sets.select("doc_id", "n_shingles", "key").join(named, "key", "left")
+    members = left.join(named.select(F.col("v").alias("a"), "component"), "a", "left").select("group", "a", F.coalesce("component", "a").alias("component"))
+    members = materialize(members, "members")
+    apart = members.groupBy("group").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("group")
+    more = materialize(met(members.join(materialize(apart, "apart"), "group"), texts, percent, width).distinct(), "links")
+    if not more.isEmpty():
+        named = components(links.unionByName(more).toDF("u", "v"))
+    reps = sets.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"))
+    reps = materialize(reps.join(named.withColumnRenamed("v", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component")), "names")
+    out = sets.select("doc_id", "n_shingles", "key").join(reps, "key", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
