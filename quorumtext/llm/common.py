@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word: a run of characters other than space, tab, line feed, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -63,6 +64,28 @@ def fold(column: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
 
 
+#: Texts turned into Python objects at a time; Arrow batches hold more.
+FRAME_ROWS = 256
+
+
+def map_frames(df: DataFrame, run, schema: str, rows: int = FRAME_ROWS) -> DataFrame:
+    """mapInPandas over small frames, so that a worker never holds a whole batch of texts twice; integers stay integers beside nulls."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def mapped(batches):
+        import pandas as pd
+
+        kinds = {pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype()}
+        frames = (b.slice(at, rows).to_pandas(types_mapper=kinds.get) for b in batches for at in range(0, b.num_rows, rows))
+        for out in run(frames):
+            yield pa.RecordBatch.from_pandas(out, schema=arrow, preserve_index=False)
+
+    return df.mapInArrow(mapped, schema)
+
+
 def whole_groups(batches, keys: list[str]):
     """Arrow batches of a partition sorted by keys -> pandas frames that each hold whole groups. At most one group and one
     batch are held, so groups must be of bounded size."""

@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quorumtext.llm.common import map_frames
+
 # Element names of the HTML standard.
 BLOCKS = frozenset(
     "address article aside blockquote body button center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html "
@@ -313,5 +315,5 @@ def main_text(pages: DataFrame, extractor: Extractor | None = None) -> DataFrame
             texts = [shared.value(page) for page in batch.html]
             yield pd.DataFrame({"id": batch["id"], "url": batch.url, "text": texts, "n_chars": [len(t) for t in texts]})
 
-    out = pages.select(F.col("page_id").cast("string").alias("id"), "url", "html").mapInPandas(run, "id string, url string, text string, n_chars long")
+    out = map_frames(pages.select(F.col("page_id").cast("string").alias("id"), "url", "html"), run, "id string, url string, text string, n_chars long")
     return out.select(F.col("id").cast(pages.schema["page_id"].dataType).alias("page_id"), "url", "text", "n_chars")

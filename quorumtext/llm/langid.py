@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quorumtext.llm.common import map_frames
+
 UNKNOWN = "und"
 TRAINING_ROWS, BUCKETS, LONGEST = 20_000, 1 << 15, 4
 #: Characters hashed at a time, so that a very long text takes no more memory than that.
@@ -104,5 +106,5 @@ def identify(docs: DataFrame, learn: Column, id_column: str = "doc_id", training
             found = [score(t, *model.value, longest) for t in batch.text]
             yield pd.DataFrame({"id": batch["id"], "lang_pred": [x for x, _ in found], "score": [x for _, x in found]})
 
-    out = docs.select(F.col(id_column).cast("string").alias("id"), "text").mapInPandas(run, "id string, lang_pred string, score double")
+    out = map_frames(docs.select(F.col(id_column).cast("string").alias("id"), "text"), run, "id string, lang_pred string, score double")
     return out.withColumn("id", F.col("id").cast(docs.schema[id_column].dataType)).withColumnRenamed("id", id_column)

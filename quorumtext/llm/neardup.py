@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorumtext.llm.common import bucketed, materialize, whole_groups
+from quorumtext.llm.common import bucketed, map_frames, materialize, whole_groups
 from quorumtext.llm.components import components
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -100,7 +100,7 @@ def signed(docs: DataFrame, width: int = 5) -> DataFrame:
                 rows.append((doc_id, len(s), *((hashlib.blake2b(s.tobytes(), digest_size=16).digest(), *minwise(s)) if len(s) else (None,) * 3)))
             yield pd.DataFrame(rows, columns=["id", "n_shingles", "key", "path", "sketch"])
 
-    rows = docs.select(F.col("doc_id").cast("string").alias("id"), "text").mapInPandas(run, "id string, n_shingles long, key binary, path binary, sketch binary")
+    rows = map_frames(docs.select(F.col("doc_id").cast("string").alias("id"), "text"), run, "id string, n_shingles long, key binary, path binary, sketch binary")
     return rows.select(F.col("id").cast("long").alias("doc_id"), "n_shingles", "key", "path", "sketch")
 
 

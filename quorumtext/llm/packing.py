@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quorumtext.llm.common import materialize
+from quorumtext.llm.common import map_frames, materialize
 
 #: Pre-tokenization pattern of byte-level BPE: fixed value of the public format.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -86,18 +86,7 @@ def cut(docs: DataFrame, vocabulary: str, room: int = 1024, separator: int = 0,
 
     schema = "doc_id long, piece long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * keep_ids
     names = [x.split()[0] for x in schema.split(", ")]
-    return docs.select("doc_id", "text").mapInPandas(_int_ids(pieces), schema)
-
-
-def _int_ids(f):
-    """Ids stay integers where some are null."""
-
-    def run(batches):
-        for out in f(b.assign(doc_id=b.doc_id.astype("Int64")) for b in batches):
-            out["doc_id"] = pd.array([None if x is pd.NA else x for x in out["doc_id"]], "Int64")
-            yield out
-
-    return run
+    return map_frames(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), pieces, schema)
 
 
 def shortest_pack_first(histogram: dict[int, int], room: int) -> list[tuple[int, list[int]]]:
@@ -164,11 +153,11 @@ def pack(docs: DataFrame, vocabulary: str, room: int = 1024, separator: int = 0,
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         edges = np.searchsorted(columns["length"], np.arange(room + 2))
         for batch in batches:
-            length, rank = batch["length"].to_numpy(), batch["rank"].to_numpy()
+            length, rank = batch["length"].to_numpy("int64"), batch["rank"].to_numpy("int64")
             at = np.empty(len(batch), "int64")
             for n in np.unique(length):
                 at[mine] = edges[n] + np.searchsorted(columns["first"][edges[n] : edges[n + 1]], rank[mine := length == n], "right") - 1
             yield batch.drop(columns="rank").assign(sequence_id=columns["sequence"][at] + rank - columns["first"][at], offset=columns["offset"][at])
 
     schema = ", ".join(f"{c} {t}" for c, t in ranked.dtypes if c != "rank") + ", sequence_id bigint, offset bigint"
-    return ranked.mapInPandas(_int_ids(place), schema)
+    return map_frames(ranked, place, schema, rows=8192)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorumtext.llm.common import materialize
+from quorumtext.llm.common import map_frames, materialize
 
 KEPT_WORDS = 400_000
 POWER = 0x9E3779B97F4A7C15
@@ -103,7 +103,7 @@ def spans(docs: DataFrame, least_words: int) -> DataFrame:
                 part = slice(at, at + 100_000)
                 yield pd.DataFrame({"doc_id": ids[part], "number": numbers[part].astype("int32"), "hash": np.concatenate(hashes)[part].view("int64")})
 
-    return docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL").mapInPandas(run, "doc_id long, number int, hash long")
+    return map_frames(docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL"), run, "doc_id long, number int, hash long")
 
 
 def removals(docs: DataFrame, least_words: int) -> DataFrame:

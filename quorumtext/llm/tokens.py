@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quorumtext.llm.common import map_frames
+
 MARK = "▁"
 #: Counts of words that a worker keeps; beyond it starts anew, which changes no result.
 KEPT_WORDS = 400_000
@@ -95,5 +97,5 @@ def count_tokens(docs: DataFrame, pieces: Sequence[tuple[str, float]], byte_fall
         for batch in batches:
             yield pd.DataFrame({"id": batch["id"], "n_chars": [len(t or "") for t in batch.text], "n_tokens": [counter.total(t) for t in batch.text]})
 
-    out = docs.select(F.col(id_column).cast("string").alias("id"), "text").mapInPandas(run, "id string, n_chars long, n_tokens long")
+    out = map_frames(docs.select(F.col(id_column).cast("string").alias("id"), "text"), run, "id string, n_chars long, n_tokens long")
     return out.withColumn("id", F.col("id").cast(docs.schema[id_column].dataType)).withColumnRenamed("id", id_column)

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorumtext.llm.common import materialize
+from quorumtext.llm.common import map_frames, materialize
 
 TRAINING_ROWS, FEATURES, LM_WORDS, ORDER = 20_000, 512, 60_000, 4
 KEPT_WORDS = 400_000
@@ -250,7 +250,7 @@ def score(docs: DataFrame, classifier: Classifier, id_column: str = "doc_id") ->
         for batch in batches:
             yield pd.DataFrame({"id": batch["id"], "score": [of(t) for t in batch.text]})
 
-    out = docs.select(F.col(id_column).cast("string").alias("id"), "text").mapInPandas(run, "id string, score double")
+    out = map_frames(docs.select(F.col(id_column).cast("string").alias("id"), "text"), run, "id string, score double")
     return out.withColumn("id", F.col("id").cast(docs.schema[id_column].dataType)).withColumnRenamed("id", id_column)
 
 
