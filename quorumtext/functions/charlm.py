@@ -34,9 +34,10 @@ def load(spark: SparkSession, path: str) -> CharLM:
 
 
 def grams(text: Column, n: int) -> Column:
-    """All substrings of n characters."""
-    last = F.length(text) - n + 1
-    return F.when(last > 0, F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    """All substrings of n characters. The text is split once; cutting it at every place would be quadratic."""
+    spelled = lambda chars: F.transform(chars, lambda c, i: F.concat(c, *[F.get(chars, i + d) for d in range(1, n)]))
+    found = F.element_at(F.transform(F.array(F.filter(F.split(text, "", -1), lambda c: c != "")), spelled), 1)
+    return F.array_compact(found)  # past the end a character is null, and the whole with it
 
 
 def train(texts: DataFrame, order: int = 3, alpha: float = 0.1) -> CharLM:

@@ -30,7 +30,8 @@ def wer(read: Column, gold: Column) -> Column:
     """Edit distance in words by gold words; null for empty gold, or if the two texts hold more distinct words than there are letters."""
     a, b = _words(read), _words(gold)
     kinds = F.array_union(a, b)
-    spelled = lambda words: F.array_join(F.transform(words, lambda w: F.substring(F.lit(_LETTERS), F.array_position(kinds, w).cast("int"), F.lit(1))), "")
+    letters = F.split(F.lit(_LETTERS), "")
+    spelled = lambda words: F.array_join(F.transform(words, lambda w: F.get(letters, F.array_position(kinds, w).cast("int") - 1)), "")
     return F.when((F.size(b) > 0) & (F.size(kinds) <= len(_LETTERS)), F.levenshtein(spelled(a), spelled(b)) / F.size(b))
 
 

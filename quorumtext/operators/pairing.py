@@ -6,7 +6,9 @@ optimal matching solves each page on its own.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -107,6 +109,8 @@ def assignment(cost: list[list[float]]) -> list[int]:
 def optimal(scored: DataFrame) -> DataFrame:
     """The pairs of greatest total score on each page; a page's blocks fit in memory."""
 
+    columns = scored.columns
+
     def solve(page: pd.DataFrame) -> pd.DataFrame:
         page = page.reset_index(drop=True)
         left, right = sorted(page.source_id.unique()), sorted(page.target_id.unique())
@@ -116,4 +120,10 @@ def optimal(scored: DataFrame) -> DataFrame:
         taken = [at[a, right[j]][1] for a, j in zip(left, assignment(cost)) if j < len(right) and (a, right[j]) in at]
         return page.iloc[sorted(taken)]
 
-    return scored.groupBy("page_id").applyInPandas(solve, scored.schema)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = (r for batch in batches for r in batch.itertuples(index=False, name=None))
+        for _, page in groupby(rows, key=lambda r: r[0]):
+            yield solve(pd.DataFrame(page, columns=columns))
+
+    pages = scored.select("page_id", *[c for c in columns if c != "page_id"]).repartition("page_id").sortWithinPartitions("page_id", "source_id", "target_id")
+    return pages.mapInPandas(run, pages.schema)

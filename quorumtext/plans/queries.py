@@ -258,10 +258,10 @@ def orientation_single(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT doc_id, CASE WHEN doc_id % 3 > 0 THEN 'text_layer' ELSE 'ocr_ensemble' END AS plain_method, CASE WHEN doc_id % 3 > 0 AND doc_id % 5 = 0 THEN 'text_layer' ELSE 'ocr_ensemble' END AS forced_method,
-  doc_id % 3 > 0 AS plain_layer, length(CASE WHEN doc_id % 3 > 0 THEN text WHEN doc_id % 5 = 0 THEN '' ELSE upper(text) END) AS plain_chars FROM documents""")
+  doc_id % 3 > 0 AS plain_layer, length(CASE WHEN doc_id % 3 > 0 THEN text WHEN doc_id % 5 = 0 THEN '' ELSE text || '!' END) AS plain_chars FROM documents""")
 def text_source_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = derived.table(spark, sf_dir, "documents")
-    pages = docs.select("doc_id", F.col("text").alias("layer_text"), (F.col("doc_id") % 3 > 0).alias("layer_ok"), F.when(F.col("doc_id") % 5 == 0, "").otherwise(F.upper("text")).alias("ocr_text"))
+    pages = docs.select("doc_id", F.col("text").alias("layer_text"), (F.col("doc_id") % 3 > 0).alias("layer_ok"), F.when(F.col("doc_id") % 5 == 0, "").otherwise(F.concat("text", F.lit("!"))).alias("ocr_text"))
     plain = fusion.choose_text(pages).select("*", F.col("method").alias("plain_method"), F.col("used_text_layer").alias("plain_layer"), F.length("page_text").cast("long").alias("plain_chars")).drop("page_text", "used_text_layer", "method")
     return fusion.choose_text(plain, force_ocr=True).select("doc_id", "plain_method", F.col("method").alias("forced_method"), "plain_layer", "plain_chars")
 
