@@ -28,11 +28,16 @@ def _words(text: Column) -> Column:
 
 def wer(read: Column, gold: Column) -> Column:
     """Edit distance in words by gold words; null for empty gold, or if the two texts hold more distinct words than there are letters."""
-    a, b = _words(read), _words(gold)
-    kinds = F.array_union(a, b)
     letters = F.split(F.lit(_LETTERS), "")
-    spelled = lambda words: F.array_join(F.transform(words, lambda w: F.get(letters, F.array_position(kinds, w).cast("int") - 1)), "")
-    return F.when((F.size(b) > 0) & (F.size(kinds) <= len(_LETTERS)), F.levenshtein(spelled(a), spelled(b)) / F.size(b))
+    spelled = lambda words, kinds: F.array_join(F.transform(words, lambda w: F.get(letters, F.array_position(kinds, w).cast("int") - 1)), "")
+
+    def distance(t: Column) -> Column:
+        a, b, kinds = t["a"], t["b"], t["kinds"]
+        return F.when((F.size(b) > 0) & (F.size(kinds) <= len(_LETTERS)), F.levenshtein(spelled(a, kinds), spelled(b, kinds)) / F.size(b))
+
+    # each list of words is made once a row: inside a lambda an expression is computed for every element
+    pair = F.transform(F.array(F.struct(_words(read).alias("a"), _words(gold).alias("b"))), lambda t: t.withField("kinds", F.array_union(t["a"], t["b"])))
+    return F.element_at(F.transform(pair, distance), 1)
 
 
 def evaluate(read: DataFrame, gold: DataFrame, keys: Sequence[str] = ("pdf_name", "page")) -> DataFrame:
