@@ -49,7 +49,7 @@ QUERIES["op4_near_duplicates"] = op4_near_duplicates
 
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = substrings.dedup_substrings(read(spark, sf_dir, "documents"))
-    return cleaned.select("doc_id", "n_sentences", "n_removed", "text")
+    return cleaned.select("doc_id", "n_removed", "text")
 
 
 QUERIES["op7_substrings"] = op7_substrings

@@ -1,7 +1,7 @@
 """Substring dedup by sliding sentence spans.
 
 A sentence ends at a word that ends in one of .!?;:, or at a line end or, so that text without punctuation is cut too, after a word whose hash is
-0 modulo 32; the cuts depend on nearby words alone, so a passage is cut alike wherever it stands. From every sentence a span runs
+0 modulo 16; the cuts depend on nearby words alone, so a passage is cut alike wherever it stands. From every sentence a span runs
 over the fewest sentences that are at least two and hold at least `least_words` words. Spans are hashed (word hashes summed with
 powers of an odd number, so all spans of a text come from running sums), joined over the whole corpus, and every sentence
 that lies in a repeated span other than the span's first place (smallest id, then sentence number) is removed.
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from quorumtext.llm.common import map_frames, materialize
 
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 POWER = 0x9E3779B97F4A7C15
 UNPOWER = pow(POWER, -1, 1 << 64)
 ENDS = tuple(".!?;:,")
@@ -39,7 +39,7 @@ class Words(dict):
 
     def __missing__(self, word: str) -> int:
         h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) >> 1
-        value = h << 1 | (word.endswith(ENDS) or h % 32 == 0)
+        value = h << 1 | (word.endswith(ENDS) or h % 16 == 0)
         if len(word) <= 64:
             if len(self) >= KEPT_WORDS:
                 self.clear()
@@ -108,7 +108,7 @@ def spans(docs: DataFrame, least_words: int) -> DataFrame:
 
 def removals(docs: DataFrame, least_words: int) -> DataFrame:
     """(doc_id, gone): for each document that loses sentences, the (number, hash) of its spans that stand elsewhere first."""
-    found = spans(docs, least_words)
+    found = materialize(spans(docs, least_words), "spans")
     # written first, so that both joins below are plain ones whose hot keys Spark can split
     repeated = materialize(found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "repeated")
     places = materialize(found.join(repeated, "hash").select("hash", "doc_id", "number"), "places")
@@ -118,7 +118,7 @@ def removals(docs: DataFrame, least_words: int) -> DataFrame:
 
 
 def dedup_substrings(docs: DataFrame, least_words: int = 15) -> DataFrame:
-    """docs' columns with text cleaned, and n_sentences, n_removed (docs' own of these names come first)."""
+    """docs' columns with text cleaned, and n_removed (sentences; a column of docs by this name comes first)."""
     rest = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.col("doc_id").alias("_id"), F.struct(*rest).alias("_row"), F.col("text").alias("_text"))
     gone = removals(docs, least_words).select(F.col("doc_id").alias("_gone_id"), F.col("gone").alias("_gone"))
@@ -127,11 +127,15 @@ def dedup_substrings(docs: DataFrame, least_words: int = 15) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of = Spans(least_words)
         for batch in batches:
-            texts, counts, removed = [], [], []
+            texts, removed = [], []
             for text, cut in zip(batch._text, batch._gone):
+                if cut is None:
+                    texts.append(text)
+                    removed.append(0)
+                    continue
                 starts, hashes, after = of(text)
                 dropped = np.zeros(len(starts) - 1, bool)
-                for x in cut if cut is not None else ():
+                for x in cut:
                     number = x["number"]
                     if number < len(hashes) and hashes[number].view("int64") == x["hash"]:
                         dropped[number : after[number]] = True
@@ -140,10 +144,9 @@ def dedup_substrings(docs: DataFrame, least_words: int = 15) -> DataFrame:
                     edges = [0, *(at[s] for s in starts[1:-1]), len(text)]
                     text = "".join(text[a:b] for a, b, d in zip(edges, edges[1:], dropped) if not d).strip()
                 texts.append(text)
-                counts.append(len(dropped))
                 removed.append(int(dropped.sum()))
-            yield pd.DataFrame({"_row": batch._row, "text": pd.Series(texts, dtype=object), "n_sentences": counts, "n_removed": removed})
+            yield pd.DataFrame({"_row": batch._row, "text": pd.Series(texts, dtype=object), "n_removed": removed})
 
     kind = packed.schema["_row"].dataType.simpleString()
-    out = packed.mapInPandas(run, f"_row {kind}, text string, n_sentences int, n_removed int")
-    return out.select(*[F.col("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns], "n_sentences", "n_removed")
+    out = packed.mapInPandas(run, f"_row {kind}, text string, n_removed int")
+    return out.select(*[F.col("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns], "n_removed")
