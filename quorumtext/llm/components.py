@@ -24,10 +24,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         return edges.select(F.col("u").alias("v"), F.col("v").alias("component"))
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+        # written first, so that the joins are plain ones and Spark can split a vertex with many edges
+        least = materialize(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = materialize(large.where("u <> v").distinct(), "edges")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
         edges = materialize(small.where("u <> v").distinct(), "edges")
         before, state = state, _state(edges)
