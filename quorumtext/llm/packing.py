@@ -145,8 +145,12 @@ def pack(docs: DataFrame, vocabulary: str, room: int = 1024, separator: int = 0,
     whole = histogram.pop(room, 0)
     table = slots(([(whole, [room])] if whole else []) + shortest_pack_first(histogram, room))
     columns = {c: table[c].to_numpy() for c in table}
-    ahead = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("length", "bucket", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
+    # pieces of a length ahead of a bucket, in two steps, so that a length with many pieces is no large window
+    before = lambda *keys: F.coalesce(F.sum("n").over(Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    totals = totals.withColumn("shelf", (F.col("bucket") / 32).cast("int"))
+    shelves = totals.groupBy("length", "shelf").agg(F.sum("n").alias("n")).select("length", "shelf", before("length", "shelf").alias("below"))
+    offsets = totals.withColumn("beside", before("length", "shelf", "bucket")).join(shelves, ["length", "shelf"])
+    offsets = materialize(offsets.select("length", "bucket", (F.col("below") + F.col("beside")).alias("ahead")), "offsets")
     within = Window.partitionBy("length", "bucket").orderBy("doc_id", "ids_crc32", "start")
     ranked = parts.join(offsets, ["length", "bucket"]).withColumn("rank", F.col("ahead") + F.row_number().over(within) - 1).drop("bucket", "ahead")
 
