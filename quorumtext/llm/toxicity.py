@@ -5,7 +5,7 @@ separators or blanks becomes a lattice: each place offers the letters it may sta
 (interpolated n-grams over the words of the training texts) scores the paths, and Viterbi picks the best word. Other words
 stay as they are, so most text is never decoded, and decoded words are kept per worker.
 
-The classifier is a logistic regression on the presence of words: those that surely mark label 1 most.
+The classifier is a logistic regression on the presence of the words and beginnings of words that most surely mark label 1, or the surest of them alone.
 Training reads at most about `training_rows` labelled rows, chosen by the hash of the id (a choice that depends on the id and
 the number of labelled rows alone); model and language model have bounded numbers of words and n-grams.
 
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from quorumtext.llm.common import map_frames, materialize
 
 TRAINING_ROWS, FEATURES, LM_WORDS, ORDER = 20_000, 512, 60_000, 4
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 
 # Letters that a sign may stand for.
 LOOKALIKES = {
@@ -163,38 +163,63 @@ class Restorer(dict):
         found.discard("")
         return found
 
+    def marks(self, text: str | None) -> set[str]:
+        """The words, and their beginnings, which inflected words share."""
+        found = self.words(text)
+        return found | {w[:n] + "~" for w in found if len(w) > 4 for n in (4, 5)}
 
-def _fit(rows: list[np.ndarray], labels: np.ndarray, width: int, strength: float = 0.01, steps: int = 15) -> tuple[np.ndarray, float]:
-    """L2-regularized logistic regression on sets of features, by Newton steps; at most training_rows * FEATURES numbers."""
-    x = np.zeros((len(rows), width + 1), "float32")
+
+def _fit(rows: list[tuple[int, ...]], labels: list[int], width: int, strength: float = 0.02, steps: int = 100) -> tuple[np.ndarray, float]:
+    """L2-regularized logistic regression on sets of features, by Newton steps until they settle. Rows with equal features, most of
+    all those without any, are one row with counts."""
+    seen: dict[tuple[int, ...], list[int]] = {}
+    for r, y in zip(rows, labels):
+        seen.setdefault(r, [0, 0])[y] += 1
+    x = np.zeros((len(seen), width + 1), "float32")
     x[:, width] = 1
-    for i, r in enumerate(rows):
-        x[i, r] = 1
+    for i, r in enumerate(seen):
+        x[i, list(r)] = 1
+    counts = np.array(list(seen.values()), "float64")
+    n, ones = counts.sum(axis=1), counts[:, 1]
     w = np.zeros(width + 1)
-    w[width] = math.log((labels.sum() + 1) / (len(labels) - labels.sum() + 1))
+    w[width] = math.log((ones.sum() + 1) / (n.sum() - ones.sum() + 1))
     penalty = np.full(width + 1, strength)
-    penalty[width] = 1e-6
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         curve = np.zeros((width + 1, width + 1))
         for at in range(0, len(x), 2048):
             part = x[at : at + 2048].astype("float64")
-            curve += part.T @ (part * (p * (1 - p))[at : at + 2048, None])
-        step = np.linalg.solve(curve + np.diag(penalty), x.T @ (labels - p) - penalty * w)
+            curve += part.T @ (part * (n * p * (1 - p))[at : at + 2048, None])
+        step = np.linalg.solve(curve + np.diag(penalty), x.T @ (ones - n * p) - penalty * w)
         w += step * min(1.0, 4.0 / max(1e-9, np.abs(step).max()))
-        if np.abs(step).max() < 1e-8:
+        if np.abs(step).max() < 1e-6:
             break
     return w[:width], float(w[width])
 
 
+def lower_bound(ones: int, n: int, z: float = 4.0) -> float:
+    """Wilson's lower bound of a share of n; z is large as the marking words are the best of very many."""
+    p, zz = ones / n, z * z / n
+    return (p + zz / 2 - z * math.sqrt(p * (1 - p) / n + zz / (4 * n))) / (1 + zz)
+
+
 class Classifier:
-    def __init__(self, model: CharModel, weights: dict[str, float], bias: float):
-        self.model, self.weights, self.bias = model, weights, bias
+    """The larger of two scores: the regression over all marking words, and the surest single word, as the share of label 1 among the
+    training rows that have it, at the lower bound. The regression alone can't tell what one bad word means where rows
+    have either none or several."""
+
+    def __init__(self, model: CharModel, weights: dict[str, float], bias: float, alone: dict[str, float] | None = None):
+        self.model, self.weights, self.bias, self.alone = model, weights, bias, alone or {}
 
     def scorer(self):
-        restorer = Restorer(self.model)
-        known = self.weights.keys()
-        return lambda text: 1 / (1 + math.exp(-max(-500.0, min(500.0, self.bias + sum(self.weights[w] for w in sorted(known & restorer.words(text)))))))
+        restorer, known = Restorer(self.model), self.weights.keys()
+
+        def score(text: str | None) -> float:
+            found = sorted(known & restorer.marks(text))
+            together = 1 / (1 + math.exp(-max(-500.0, min(500.0, self.bias + sum(self.weights[w] for w in found)))))
+            return max([together, *(self.alone.get(w, 0.0) for w in found)])
+
+        return score
 
 
 def train(labelled: DataFrame, training_rows: int = TRAINING_ROWS, features: int = FEATURES, lm_words: int = LM_WORDS) -> Classifier:
@@ -226,19 +251,21 @@ def train(labelled: DataFrame, training_rows: int = TRAINING_ROWS, features: int
     odds = F.log((t + 0.5) / (bad - t + 0.5)) - F.log((c + 0.5) / (good - c + 0.5))
     error = F.sqrt(1 / (t + 0.5) + 1 / (bad - t + 0.5) + 1 / (c + 0.5) + 1 / (good - c + 0.5))
     sure = odds - 3 * error  # words that mark label 1; those that only go with long or clean texts would blur it
-    chosen = counted(lambda: Restorer(shared.value).words).withColumn("sure", sure).where("sure > 0.3").orderBy(F.desc("sure"), "word").limit(features)
-    names = sorted(r.word for r in chosen.collect())
+    chosen = counted(lambda: Restorer(shared.value).marks).withColumn("sure", sure).where("sure > 0.3").orderBy(F.desc("sure"), "word").limit(features)
+    found = sorted((r.word, r.toxic, r.clean) for r in chosen.collect())
+    names = [w for w, _, _ in found]
+    alone = {w: lower_bound(t, t + c) for w, t, c in found if w[-1] != "~"}
     index = {w: i for i, w in enumerate(names)}
 
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words_of = Restorer(shared.value).words
+        words_of = Restorer(shared.value).marks
         for batch in batches:
             yield pd.DataFrame({"id": batch.id, "toxic": (batch.toxic == 1).astype("int64"), "found": [sorted(index[w] for w in words_of(t) & index.keys()) for t in batch.text]})
 
     # the bounded sample, a few numbers a row
     rows = sorted(sample.mapInPandas(featured, "id long, toxic long, found array<int>").collect(), key=lambda r: (r.id is None, r.id, r.toxic, r.found))
-    w, bias = _fit([np.array(r.found, "int64") for r in rows], np.array([r.toxic for r in rows], float), len(names))
-    return Classifier(model, dict(zip(names, map(float, w))), float(bias))
+    w, bias = _fit([tuple(r.found) for r in rows], [r.toxic for r in rows], len(names))
+    return Classifier(model, dict(zip(names, map(float, w))), float(bias), alone)
 
 
 def score(docs: DataFrame, classifier: Classifier, id_column: str = "doc_id") -> DataFrame:
