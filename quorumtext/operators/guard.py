@@ -53,6 +53,14 @@ def line_limits(lines: DataFrame, keys: list[str], min_confidence: float = 0.55,
     return sure.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy("line_no"))).where(F.col("_n") <= max_lines).drop("_n")
 
 
+def quality_filter(lines: DataFrame, min_confidence: float = 0.55, min_height: float = 8.0, max_rotation: float = 5.0) -> DataFrame:
+    """Lines that are sure, high and level enough; what a line doesn't say (confidence, box, a column rotation) isn't held against it."""
+    ok = (F.col("raw_confidence").isNull() | (F.col("raw_confidence") >= min_confidence)) & (F.col("bbox").isNull() | (F.col("bbox.y1") - F.col("bbox.y0") >= min_height))
+    if "rotation" in lines.columns:
+        ok &= F.col("rotation").isNull() | (F.abs("rotation") <= max_rotation)
+    return lines.where(ok)
+
+
 def block_role(text: Column) -> Column:
     """A coarse role by pattern: reference, figure, header or body."""
     return (

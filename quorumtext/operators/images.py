@@ -62,23 +62,35 @@ def sharpen(grey: np.ndarray, radius: float = 1.5, percent: int = 180, threshold
 
 
 def binary(grey: np.ndarray) -> np.ndarray:
-    return np.where(grey > grey.mean(), 255, 0).astype("uint8")
+    return np.where(grey >= int(grey.mean()), 255, 0).astype("uint8")
 
 
-def morphology(grey: np.ndarray) -> np.ndarray:
-    """Closing: widest, then narrowest, of 3 by 3."""
-    return _windows(_windows(binary(grey)).max(axis=(2, 3))).min(axis=(2, 3)).astype("uint8")
+def closing(grey: np.ndarray) -> np.ndarray:
+    """Widest, then narrowest, of 3 by 3."""
+    return _windows(_windows(grey).max(axis=(2, 3))).min(axis=(2, 3)).astype("uint8")
 
 
-def variant(rgb: np.ndarray, name: str, contrast_factor: float = 1.8) -> np.ndarray:
-    if name == "original":
-        return rgb
-    grey = grayscale(rgb)
-    made = {
-        "grayscale": lambda: grey, "denoise": lambda: median3(grey), "autocontrast": lambda: autocontrast(grey), "contrast": lambda: contrast(autocontrast(grey), contrast_factor), "sharpen": lambda: sharpen(autocontrast(grey)),
-        "binary": lambda: binary(grey), "adaptive": lambda: autocontrast(binary(grey)), "morphology": lambda: morphology(grey),
-    }[name]()
-    return np.repeat(made[..., None], 3, axis=2)
+#: How each variant comes from another; "grayscale" comes from the page.
+CHAIN = {
+    "denoise": ("grayscale", median3), "autocontrast": ("denoise", autocontrast), "contrast": ("autocontrast", contrast), "sharpen": ("contrast", sharpen),
+    "binary": ("sharpen", binary), "adaptive": ("binary", autocontrast), "morphology": ("adaptive", closing),
+}
+
+
+def made(rgb: np.ndarray, names: Iterable[str], contrast_factor: float = 1.8) -> dict[str, np.ndarray]:
+    """The named variants of a page, as RGB; steps they share run once, others not at all."""
+    steps: dict[str, np.ndarray] = {}
+
+    def step(name: str) -> np.ndarray:
+        if name not in steps:
+            if name == "grayscale":
+                steps[name] = grayscale(rgb)
+            else:
+                source, f = CHAIN[name]
+                steps[name] = f(step(source), contrast_factor) if name == "contrast" else f(step(source))
+        return steps[name]
+
+    return {n: rgb if n == "original" else np.repeat(step(n)[..., None], 3, axis=2) for n in names}
 
 
 def rotated(rgb: np.ndarray, angle: int) -> np.ndarray:
@@ -101,7 +113,7 @@ def variants(pages: DataFrame, names: Iterable[str] = ("adaptive", "morphology",
                 for angle in angles:
                     turned = rotated(without_alpha(rgb), angle)
                     h, w = turned.shape[:2]
-                    yield pd.DataFrame([(page.page_id, angle, n, w, h, np.ascontiguousarray(variant(turned, n)).tobytes()) for n in names], columns=[f.split()[0] for f in IMAGE.split(", ")])
+                    yield pd.DataFrame([(page.page_id, angle, n, w, h, np.ascontiguousarray(x).tobytes()) for n, x in made(turned, names).items()], columns=[f.split()[0] for f in IMAGE.split(", ")])
 
     return pages.select("page_id", "width", "height", "rgb").mapInPandas(run, IMAGE)
 

@@ -7,20 +7,25 @@ from pyspark.sql import functions as F
 
 from quorumtext.operators.candidates import best_variant, readings
 from quorumtext.operators.detect import DetectionProfile, detect
-from quorumtext.operators.fusion import choose_text, extract_pages
+from quorumtext.operators.fusion import choose_text, error_map, extract_pages
 from quorumtext.operators.layout import Layout
 from quorumtext.plans.options import EnsembleProfile, PipelineOptions
-from quorumtext.sources.engines import read_lines
+from quorumtext.sources.engines import failure_rows, loaded, read_lines
 
 KEYS = ["pdf_name", "page"]
 
 
 def recognize(pages: DataFrame, profile: EnsembleProfile) -> DataFrame:
-    """page_id, ocr_text, method, winner, errors and scores for pages, by the registered line sources."""
+    """page_id, ocr_text, winner, engines, errors and scores for pages, by the registered line sources that start."""
     sized = pages.select("page_id", "page_width")
-    lines = read_lines(pages, list(profile.engines)).drop("page_width").join(sized, "page_id")
+    ready, failed = loaded(list(profile.engines), pages)
+    if not ready:  # every page is empty, and says why
+        empty = pages.select("page_id", F.lit("").alias("ocr_text"), F.array().cast("array<string>").alias("engines_used"), F.lit("ensemble").alias("winner"))
+        return empty.join(error_map(failure_rows(pages, failed, profile.angles)), "page_id", "left")
+    lines = read_lines(pages, ready).drop("page_width").join(sized, "page_id")
     candidates = best_variant(readings(lines, Layout(**profile.layout)))
-    return extract_pages(pages, candidates, profile.weights).withColumnRenamed("text", "ocr_text").drop("method")
+    found = extract_pages(pages, candidates, profile.weights).withColumnRenamed("text", "ocr_text").drop("method")
+    return found.join(error_map(failure_rows(pages, failed, profile.angles)), "page_id", "left")
 
 
 def page_text(pages: DataFrame, options: PipelineOptions, profile: EnsembleProfile = EnsembleProfile(), detection: DetectionProfile = DetectionProfile()) -> DataFrame:

@@ -43,6 +43,30 @@ def read_lines(pages: DataFrame, names: list[str] | None = None) -> DataFrame:
     return out
 
 
+def loaded(names: list[str] | None, pages: DataFrame) -> tuple[list[str], dict[str, str]]:
+    """The engines that start, and the messages of those that don't; an engine that fails to start is out for all pages and angles."""
+    ready, failed = [], {}
+    for n in enabled(names):
+        if n not in _registry:
+            failed[n] = "no line source is registered"
+            continue
+        try:
+            _registry[n](pages.limit(0)).schema
+            ready.append(n)
+        except Exception as wrong:  # a plug-in may raise anything
+            failed[n] = str(wrong)
+    return ready, failed
+
+
+def failure_rows(pages: DataFrame, failed: dict[str, str], angles: tuple[int, ...]) -> DataFrame:
+    """(page_id, angle_ord, angle, engine, error) for every page and angle, as input of the error map."""
+    rows = [(k, a, n, e) for k, a in enumerate(angles) for n, e in failed.items()]
+    items = F.array(*[F.struct(F.lit(k).alias("angle_ord"), F.lit(a).alias("angle"), F.lit(n).alias("engine"), F.lit(e).alias("error")) for k, a, n, e in rows])
+    if not rows:
+        items = F.array().cast("array<struct<angle_ord:int,angle:int,engine:string,error:string>>")
+    return pages.select("page_id", F.inline(items))
+
+
 def recorded(lines: DataFrame) -> LineSource:
     """A source that replays recorded lines for the pages asked for."""
     return lambda pages: lines.join(pages.select("page_id").distinct(), "page_id", "left_semi")

@@ -81,6 +81,19 @@ def test_guard(spark):
     assert [r.accepted for r in guard.accept(rows).collect()] == [True, False, False, False]
 
 
+def test_quality_filter(spark):
+    box = lambda h: (0.0, 0.0, 9.0, float(h))
+    lines = spark.createDataFrame([(1, 0.9, box(9)), (2, 0.5, box(9)), (3, None, box(7)), (4, None, None)], "line_no int, raw_confidence double, bbox struct<x0:double,y0:double,x1:double,y1:double>")
+    assert [r.line_no for r in guard.quality_filter(lines).collect()] == [1, 4]
+
+
+def test_votes_and_roles(spark):
+    rows = spark.createDataFrame([(1, 0, "the evideuce is"), (1, 1, "the evidence is"), (1, 2, "tbe evidence 1s clear")], "page_id long, engine_ord int, text string")
+    assert guard.word_votes(rows, ["page_id"]).first().text == "the evidence is clear"
+    roles = spark.createDataFrame([("[12] Smith",), ("Fig. 3 a seal",), ("AKT 1, 1990",), ("um-ma a-na",)], "t string").select(guard.block_role(F.col("t"))).collect()
+    assert [r[0] for r in roles] == ["reference", "figure", "header", "body"]
+
+
 def test_pairing(spark):
     scored = spark.createDataFrame([(1, 1, 10, 0.9, "high", True), (1, 1, 11, 0.8, "high", True), (1, 2, 10, 0.85, "high", True)], "page_id long, source_id long, target_id long, score double, tier string, interlinear boolean")
     assert [(r.source_id, r.target_id) for r in pairing.greedy(scored).collect()] == [(1, 10)]
@@ -89,9 +102,9 @@ def test_pairing(spark):
 
 def test_images(spark):
     rgb = np.arange(4 * 6 * 3, dtype="uint8").reshape(4, 6, 3) * 3
-    for name in images.VARIANTS:
-        assert images.variant(rgb, name).shape == rgb.shape and images.variant(rgb, name).dtype == np.uint8
-    assert set(np.unique(images.variant(rgb, "binary"))) <= {0, 255} and images.autocontrast(images.grayscale(rgb)).max() >= 254
+    made = images.made(rgb, images.VARIANTS)
+    assert tuple(made) == images.VARIANTS and all(x.shape == rgb.shape and x.dtype == np.uint8 for x in made.values())
+    assert set(np.unique(made["binary"])) <= {0, 255} and set(np.unique(made["morphology"])) <= {0, 255} and images.autocontrast(images.grayscale(rgb)).max() >= 254
     assert images.rotated(rgb, 360) is rgb and images.rotated(rgb, 90).shape == (6, 4, 3)
     df = spark.createDataFrame([(1, 6, 4, bytearray(rgb.tobytes()))], "page_id long, width int, height int, rgb binary")
     rows = images.variants(df, ("original", "binary"), (0, 90)).collect()
@@ -136,6 +149,8 @@ def test_plan_skips_recognition_where_the_layer_is_sound(spark):
     got = {r.page: r for r in extract.page_text(pages, options.PipelineOptions()).collect()}
     assert (got[1].page_text, got[1].used_text_layer, got[1].has_akkadian) == ("layer text", True, False)
     assert (got[2].page_text, got[2].method, got[2].has_akkadian) == ("sa-ra-am i-na-an e-li-su DUMU", "ocr_ensemble", True)
+    _, failed = engines.loaded(["paddle", "kraken"], pages)
+    assert list(failed) == ["kraken"] and {r.page_id: len(r.errors) for r in extract.recognize(pages, options.EnsembleProfile()).collect()} == {1: 12, 2: 12}
     forced = {r.page: r for r in extract.page_text(pages, options.PipelineOptions(force_ocr=True)).collect()}
     assert forced[1].page_text.startswith("sa-ra-am") and not forced[1].used_text_layer
 
