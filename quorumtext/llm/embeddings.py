@@ -179,3 +179,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     linked = keyed.select("vec_id", "key").join(by_class, "key").select("vec_id", "n_links", "component_id")
     unlinked = rows.where(~F.coalesce(sound, F.lit(False)) | (F.size("v") != size)).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(unlinked).select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+ORACLE = """
+WITH RECURSIVE x AS (SELECT vec_id, label, list_transform(embedding, lambda v: v::DOUBLE) AS v FROM embeddings),
+e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM x a JOIN x b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+r AS (SELECT vec_id AS v, vec_id AS c FROM x UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.v)
+SELECT r.v AS vec_id, (SELECT count(*) FROM e WHERE e.a = r.v) AS n_links, min(c) AS component_id, min(c) = r.v AS kept FROM r GROUP BY r.v
+"""

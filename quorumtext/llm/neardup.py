@@ -6,7 +6,7 @@
    threshold is expected to stay together on one path), and sends each class to the child for its token there. A child with one class
    ends; a small one is a leaf; a large one branches again. A node's size comes from a count, so a large node is never gathered.
    Nodes that are still large at the last level are cut into blocks by hash, and the smallest class of each block meets those of the
-   others; five levels of equal tokens mean near copies, which such links hold together.
+   others, in rounds; five levels of equal tokens mean near copies, which such links hold together.
 3. In a leaf or block all pairs are compared by their sketches. Of the pairs that may reach the threshold (3.5 standard errors below it)
    it hands on a spanning forest, likeliest first: fewer pairs than classes. They are confirmed on the full sets, and the links make
    components.
@@ -295,11 +295,14 @@ def candidates(classes: DataFrame, threshold: float, trees: int) -> DataFrame:
             break
         nodes = large.select("rep", F.array("node").alias("nodes")).join(classes.select("rep", "path"), "rep")
     else:
-        cut = large.withColumn("block", F.pmod(F.xxhash64("node", "rep"), F.ceil(F.col("size") / BLOCK)))
-        found.append(materialize(compared(cut.select("node", "block", "rep").join(sketches, "rep"), ["node", "block"], threshold), "pairs"))
-        heads = materialize(cut.groupBy("node", "block").agg(F.min("rep").alias("rep"), F.first("size").alias("size")), "heads").where(F.col("size") > BLOCK)
-        heads = heads.withColumn("block", F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / (BLOCK * BLOCK))))
-        found.append(materialize(compared(heads.select("node", "block", "rep").join(sketches, "rep"), ["node", "block"], threshold), "pairs"))
+        members, turn = large.select("node", "rep", "size"), 0
+        while not members.isEmpty():
+            # blocks of a node, then their smallest classes as members of the next round, until one block holds a node
+            cut = members.withColumn("block", F.pmod(F.xxhash64("node", "rep", F.lit(turn)), F.ceil(F.col("size") / BLOCK)))
+            found.append(materialize(compared(cut.select("node", "block", "rep").join(sketches, "rep"), ["node", "block"], threshold), "pairs"))
+            heads = materialize(cut.where(F.col("size") > BLOCK).groupBy("node", "block").agg(F.min("rep").alias("rep")), "heads")
+            counts = materialize(heads.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
+            members, turn = materialize(heads.select("node", "rep").join(counts, "node"), "heads"), turn + 1
     out = found[0].withColumn("from", F.lit(0))
     for k, p in enumerate(found[1:], 1):
         out = out.unionByName(p.withColumn("from", F.lit(k)))
@@ -331,3 +334,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, width: int = 5, tr
     out = sets.select("doc_id", "n_shingles", "key").join(reps, "key", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')] ELSE list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i+4], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 75 * (x.n + y.n - common)),
+r AS (SELECT doc_id AS v, doc_id AS c FROM w UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.v)
+SELECT r.v AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c) AS component_id, min(c) = r.v AS kept FROM r LEFT JOIN n ON n.doc_id = r.v GROUP BY r.v
+"""

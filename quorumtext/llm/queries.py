@@ -37,7 +37,7 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_token_counts, op3_pack, op6_language)}
-ORACLE_SQL = {"op1_mix_sources": mixing.ORACLE}
+ORACLE_SQL = {"op1_mix_sources": mixing.ORACLE, "op4_near_duplicates": neardup.ORACLE, "op5_near_vectors": embeddings.ORACLE}
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,7 +82,7 @@ class CharModel:
                 if total := self.contexts[n].get(part[:-1], 0.0):
                     kinds = self.kinds[n][part[:-1]]
                     p = (self.grams[n].get(part, 0.0) + kinds * p) / (total + kinds)
-            if len(self.known) > 500_000:
+            if len(self.known) > 100_000:
                 self.known.clear()
             self.known[gram] = math.log(p)
         return self.known[gram]
