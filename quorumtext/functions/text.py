@@ -108,7 +108,7 @@ def strip_diacritics(text: Column) -> Column:
     with characters that become several (ligatures, fractions, Hangul) are first spelled out."""
     t = _tables()
     several = char_class([*map(ord, t["several"]), *range(HANGUL, 0xD7A4)])
-    expanded = F.when(text.rlike(several), _spelled_out(text)).otherwise(text)
+    expanded = F.when(beyond_ascii(text).rlike(several), _spelled_out(text)).otherwise(text)
     one = t["one"]
     return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(expanded, "".join(one) + "".join(t["gone"]), "".join(one.values()))).otherwise(text)
 
@@ -124,6 +124,11 @@ def comparison_key(text: Column) -> Column:
     return squeeze(fold_case(strip_diacritics(text)))
 
 
+def beyond_ascii(text: Column) -> Column:
+    """What is left of a text without ASCII: large character classes are slow to match, so they are matched against this alone."""
+    return F.regexp_replace(text, F.lit(r"[\x00-\x7F]+"), F.lit(""))
+
+
 def _hits(text: Column, pattern: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, F.lit(pattern), F.lit("")))
 
@@ -135,8 +140,8 @@ def contains_arabic(text: Column) -> Column:
 def diacritic_richness(text: Column) -> Column:
     """Per character: 1 for a combining mark or a letter beyond ASCII, 2 for an Arabic sign that isn't a letter. Not normalized first."""
     marks, arabic = char_class(_tables()["marks"]), char_class(_tables()["arabic"])
-    score = _hits(text, f"[{marks}[\\p{{L}}&&[^\\x00-\\x7F]]]") + 2 * _hits(text, f"[{arabic}&&[^{marks[1:-1]}]]")
-    # most texts of a Latin corpus hold no such sign: look once before counting
+    score = lambda rest: _hits(rest, f"[\\p{{L}}{marks}]") + F.when(rest.rlike(r"[\u0600-\uFEFF\x{10000}-\x{10FFFF}]"), 2 * _hits(rest, f"[{arabic}&&[^{marks[1:-1]}]]")).otherwise(0)
+    score = F.element_at(F.transform(F.array(beyond_ascii(text)), score), 1)
     return F.when(text.rlike(r"[^\x00-\x7F]"), score / F.greatest(F.length(text), F.lit(1))).otherwise(F.lit(0.0))
 
 

@@ -37,9 +37,10 @@ def boxed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns as short pages: page_id, text."""
+    """Conversation turns as short pages: page_id, text. Comparing them is long work on few bytes, so they are dealt out by page first."""
     t = table(spark, sf_dir, "conversations")
-    return t.select((F.col("conv_id") * 1000 + F.col("turn")).alias("page_id"), F.coalesce("text", F.lit("")).alias("text"))
+    pages = t.select((F.col("conv_id") * 1000 + F.col("turn")).alias("page_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return pages.repartition(4 * spark.sparkContext.defaultParallelism, "page_id")
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
