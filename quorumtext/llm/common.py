@@ -45,12 +45,35 @@ def bucketed(df: DataFrame, column: str, name: str = "table") -> DataFrame:
     return spark.table(table)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+class Steps:
+    """What a chain of steps has written and may delete: files of earlier steps that the next step's input doesn't read."""
+
+    def __init__(self) -> None:
+        self.left: list[tuple] = []
+
+    def begin(self, docs: DataFrame) -> int:
+        if self.left:
+            read = "\n".join(docs.inputFiles())
+            for spark, path in [x for x in self.left if x[1].rsplit("/", 1)[-1] not in read]:
+                _delete(spark, path)
+                self.left.remove((spark, path))
+                _made.remove((spark, path))
+        return len(_made)
+
+    def end(self, mark: int) -> None:
+        self.left += _made[mark:]
+
+
 @atexit.register
 def _clean() -> None:
     for spark, path in _made:
         try:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(spark, path)
         except Exception:  # the session is gone, and with it the gateway
             return
 
