@@ -107,37 +107,37 @@ def spans(docs: DataFrame, least_words: int) -> DataFrame:
 
 
 def removals(docs: DataFrame, least_words: int) -> DataFrame:
-    """(doc_id, gone): for each document that loses sentences, the (number, hash) of its spans that stand elsewhere first."""
+    """(doc_id, numbers, hashes): for each document that loses sentences, its spans that stand elsewhere first."""
     found = materialize(spans(docs, least_words), "spans")
     # written first, so that both joins below are plain ones whose hot keys Spark can split
     repeated = materialize(found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "repeated")
     places = materialize(found.join(repeated, "hash").select("hash", "doc_id", "number"), "places")
     first = materialize(places.groupBy("hash").agg(F.min(F.struct("doc_id", "number")).alias("first")), "first")
     later = places.join(first, "hash").where(F.struct("doc_id", "number") > F.col("first"))
-    return later.groupBy("doc_id").agg(F.collect_list(F.struct("number", "hash")).alias("gone"))
+    gone = later.groupBy("doc_id").agg(F.collect_list(F.struct("number", "hash")).alias("gone"))
+    return gone.select("doc_id", F.transform("gone", lambda x: x["number"]).alias("numbers"), F.transform("gone", lambda x: x["hash"]).alias("hashes"))
 
 
 def dedup_substrings(docs: DataFrame, least_words: int = 15) -> DataFrame:
     """docs' columns with text cleaned, and n_removed (sentences; a column of docs by this name comes first)."""
     rest = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.col("doc_id").alias("_id"), F.struct(*rest).alias("_row"), F.col("text").alias("_text"))
-    gone = removals(docs, least_words).select(F.col("doc_id").alias("_gone_id"), F.col("gone").alias("_gone"))
-    packed = rows.join(gone, F.col("_id") == F.col("_gone_id"), "left").select("_row", "_text", "_gone")
+    gone = removals(docs, least_words).select(F.col("doc_id").alias("_gone_id"), F.col("numbers").alias("_numbers"), F.col("hashes").alias("_hashes"))
+    packed = rows.join(gone, F.col("_id") == F.col("_gone_id"), "left").select("_row", "_text", "_numbers", "_hashes")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of = Spans(least_words)
         for batch in batches:
             texts, removed = [], []
-            for text, cut in zip(batch._text, batch._gone):
-                if cut is None:
+            for text, numbers, found in zip(batch._text, batch._numbers, batch._hashes):
+                if numbers is None:
                     texts.append(text)
                     removed.append(0)
                     continue
                 starts, hashes, after = of(text)
                 dropped = np.zeros(len(starts) - 1, bool)
-                for x in cut:
-                    number = x["number"]
-                    if number < len(hashes) and hashes[number].view("int64") == x["hash"]:
+                for number, known in zip(numbers, found):
+                    if number < len(hashes) and hashes[number].view("int64") == known:
                         dropped[number : after[number]] = True
                 if dropped.any():
                     at = [m.start() for m in _token.finditer(text)]
@@ -148,5 +148,5 @@ def dedup_substrings(docs: DataFrame, least_words: int = 15) -> DataFrame:
             yield pd.DataFrame({"_row": batch._row, "text": pd.Series(texts, dtype=object), "n_removed": removed})
 
     kind = packed.schema["_row"].dataType.simpleString()
-    out = packed.mapInPandas(run, f"_row {kind}, text string, n_removed int")
+    out = map_frames(packed, run, f"_row {kind}, text string, n_removed int")
     return out.select(*[F.col("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in docs.columns], "n_removed")
