@@ -6,12 +6,16 @@
    threshold is expected to stay together on one path), and sends each class to the child for its token there. A child with one class
    ends; a small one is a leaf; a large one branches again. A node's size comes from a count, so a large node is never gathered.
    Nodes that are still large at the last level are cut into blocks by hash, and the smallest class of each block meets those of the
-   others, in rounds; five levels of equal tokens mean near copies, which such links hold together.
+   others, in rounds, which holds near copies together; what it leaves apart is met in step 5.
 3. In a leaf or block all pairs are compared by their sketches. Of the pairs that may reach the threshold (3.5 standard errors below it)
    it hands on a spanning forest, likeliest first: fewer pairs than classes. They are confirmed on the full sets, and the links make
    components.
 4. An unsure edge of a forest that fails may leave classes apart that another pair would link. The members of such groups
    that lie in different components meet once more with their full sets, group by group; no pair leaves the group but a link.
+5. A large node of the last level whose classes do not all lie in one component by then is compared whole: its classes, in the order of
+   their components, are cut into tiles, and every pair of tiles that holds two components meets, by sketches first and on full sets
+   where those may reach the threshold. Near copies are one component and cost nothing here; the work is quadratic in classes that
+   share most of a text without being near copies.
 
 Recall: a pair at similarity 0.75 shares a path of three levels in one tree with a chance of about 0.6, in one of `trees` = 8 with
 0.999, and its sketch passes with 0.9998; more similar pairs, more surely.
@@ -36,7 +40,7 @@ from quorumtext.llm.common import bucketed, map_frames, materialize, whole_group
 from quorumtext.llm.components import components
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-PATHS, SKETCH, TREES, LEVELS, LEAF, BLOCK = 48, 256, 8, 5, 16, 128
+PATHS, SKETCH, TREES, LEVELS, LEAF, BLOCK, TILE = 48, 256, 8, 5, 16, 128, 256
 KEPT_WORDS = 150_000
 _RNG = np.random.default_rng(20240229)
 MULTIPLIERS = _RNG.integers(1 << 31, size=PATHS + SKETCH, dtype="uint32") * np.uint32(2) + np.uint32(1)
@@ -279,11 +283,12 @@ def met(members: DataFrame, texts: DataFrame, percent: int, width: int) -> DataF
     return rows.repartition("group").sortWithinPartitions("group", "a").mapInPandas(run, "a long, b long")
 
 
-def candidates(classes: DataFrame, threshold: float, trees: int) -> DataFrame:
-    """classes (rep, n_shingles, path, sketch; bucketed by rep) -> forest edges and open members of all leaves and blocks."""
+def candidates(classes: DataFrame, threshold: float, trees: int) -> tuple[DataFrame, DataFrame | None]:
+    """classes (rep, n_shingles, path, sketch; bucketed by rep) -> forest edges and open members of all leaves and blocks, and the
+    members (node, rep) of the nodes that are large at the last level, if there are any."""
     sketches = classes.select("rep", "n_shingles", "sketch")
     roots = F.transform(F.sequence(F.lit(1), F.lit(trees)), lambda t: F.xxhash64(t))
-    nodes, found = classes.select("rep", roots.alias("nodes"), "path"), []
+    nodes, found, crowded = classes.select("rep", roots.alias("nodes"), "path"), [], None
     for _ in range(LEVELS):
         children = materialize(branched(nodes, threshold), "nodes")
         sizes = materialize(children.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
@@ -296,6 +301,7 @@ def candidates(classes: DataFrame, threshold: float, trees: int) -> DataFrame:
         nodes = large.select("rep", F.array("node").alias("nodes")).join(classes.select("rep", "path"), "rep")
     else:
         members, turn = large.select("node", "rep", "size"), 0
+        crowded = large.select("node", "rep")
         while not members.isEmpty():
             # blocks of a node, then their smallest classes as members of the next round, until one block holds a node
             cut = members.withColumn("block", F.pmod(F.xxhash64("node", "rep", F.lit(turn)), F.ceil(F.col("size") / BLOCK)))
@@ -306,7 +312,50 @@ def candidates(classes: DataFrame, threshold: float, trees: int) -> DataFrame:
     out = found[0].withColumn("from", F.lit(0))
     for k, p in enumerate(found[1:], 1):
         out = out.unionByName(p.withColumn("from", F.lit(k)))
-    return out
+    return out, crowded
+
+
+def apart_in_tiles(crowded: DataFrame, classes: DataFrame, named: DataFrame, threshold: float) -> DataFrame:
+    """Members (node, rep) of large nodes -> groups (group, a, component) of bounded size that hold every pair of a node's classes in
+    different components whose sketches may reach the threshold."""
+    low = threshold - 3.5 * (threshold * (1 - threshold) / SKETCH) ** 0.5
+    members = crowded.join(named.withColumnRenamed("v", "rep"), "rep", "left").select("node", "rep", F.coalesce("component", "rep").alias("component"))
+    members = materialize(members, "members")
+    spread = members.groupBy("node").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("node")
+    rows = members.join(materialize(spread, "apart"), "node").join(classes.select("rep", "n_shingles", "sketch"), "rep")
+
+    def tiled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for chunk in whole_groups(batches, ["node", "band"]):
+            for (node, _), some in chunk.groupby(["node", "band"], sort=False):
+                for at in range(0, len(some), TILE):
+                    t = some.iloc[at : at + TILE]
+                    yield pd.DataFrame({"node": [node], "tile": [int(t.rep.iloc[0])], "low": [t.component.min()], "high": [t.component.max()], "reps": [t.rep.to_numpy()], "parts": [t.component.to_numpy()], "sizes": [t.n_shingles.to_numpy()], "sketches": [b"".join(t.sketch)]})
+
+    # a partition holds some neighbours of a node's order, in bands that are not more rows than a batch or two
+    ordered = rows.repartitionByRange("node", "component", "rep").sortWithinPartitions("node", "component", "rep")
+    banded = ordered.withColumn("band", F.floor(F.monotonically_increasing_id() / (4 * TILE)))
+    payload = "reps array<long>, parts array<long>, sizes array<long>, sketches binary"
+    tiles = materialize(banded.select("node", "band", "rep", "component", "n_shingles", "sketch").mapInPandas(tiled, f"node long, tile long, low long, high long, {payload}"), "tiles")
+    a, b = (tiles.select("node", *[F.col(c).alias(f"{c}_{x}") for c in ("tile", "low", "high")]) for x in "ab")
+    pairs = a.join(b, "node").where("tile_a <= tile_b AND least(low_a, low_b) < greatest(high_a, high_b)").select("node", "tile_a", "tile_b")
+    for x in "ab":
+        side = tiles.select("node", *[F.col(c).alias(f"{c}_{x}") for c in ("tile", "reps", "parts", "sizes", "sketches")])
+        pairs = pairs.join(side, ["node", f"tile_{x}"])
+
+    def met_by_sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for r in batch.itertuples(index=False):
+                x, y = (np.frombuffer(s, "uint8").reshape(-1, SKETCH) for s in (r.sketches_a, r.sketches_b))
+                near = np.zeros((len(x), len(y)), bool)
+                for i in range(len(x)):
+                    j = np.flatnonzero((r.parts_b != r.parts_a[i]) & (np.minimum(r.sizes_b, r.sizes_a[i]) >= threshold * np.maximum(r.sizes_b, r.sizes_a[i])))
+                    near[i, j] = ((y[j] == x[i]).mean(axis=1) - 1 / 256) / (1 - 1 / 256) >= low
+                one = {int(v): int(p) for v, p in zip(r.reps_a[near.any(axis=1)], r.parts_a[near.any(axis=1)])}
+                one |= {int(v): int(p) for v, p in zip(r.reps_b[near.any(axis=0)], r.parts_b[near.any(axis=0)])}
+                if one:
+                    yield pd.DataFrame({"group": f"{r.node}/{r.tile_a}/{r.tile_b}", "a": list(one), "component": list(one.values())})
+
+    return pairs.mapInPandas(met_by_sketch, "group string, a long, component long")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.75, width: int = 5, trees: int = TREES) -> DataFrame:
@@ -315,7 +364,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, width: int = 5, tr
     sets = materialize(signed(docs, width), "sets")
     firsts = [F.first(c).alias(c) for c in ("n_shingles", "path", "sketch")]
     classes = sets.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), *firsts)
-    found = candidates(bucketed(classes.drop("key"), "rep", "classes"), threshold, trees)
+    classes = bucketed(classes.drop("key"), "rep", "classes")
+    found, crowded = candidates(classes, threshold, trees)
     pairs = materialize(found.where("b IS NOT NULL").select("a", "b").distinct(), "pairs")
     left = found.where("b IS NULL").select(F.concat_ws("/", "from", "group").alias("group"), "a")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(left.select(F.col("a").alias("doc_id"))).distinct()
@@ -328,7 +378,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, width: int = 5, tr
     apart = members.groupBy("group").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("group")
     more = materialize(met(members.join(materialize(apart, "apart"), "group"), texts, percent, width).distinct(), "links")
     if not more.isEmpty():
-        named = components(links.unionByName(more).toDF("u", "v"))
+        links = links.unionByName(more)
+        named = components(links.toDF("u", "v"))
+    if crowded is not None:
+        open_groups = materialize(apart_in_tiles(crowded, classes, named, threshold), "members")
+        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(open_groups.select(F.col("a").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
+        more = materialize(met(open_groups, texts, percent, width).distinct(), "links")
+        if not more.isEmpty():
+            named = components(links.unionByName(more).toDF("u", "v"))
     reps = sets.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"))
     reps = materialize(reps.join(named.withColumnRenamed("v", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component")), "names")
     out = sets.select("doc_id", "n_shingles", "key").join(reps, "key", "left")

@@ -231,6 +231,21 @@ def test_forest_keeps_what_an_unsure_edge_may_part():
     assert neardup.forest(a, b, np.array([0.9, 0.9, 0.9]), 0.85) == ([0, 1], set())
 
 
+def test_large_family_of_a_template_is_compared_whole(spark, monkeypatch):
+    # strangers share 0.72 of their shingles, each text and its one partner about 0.8; blocks far smaller than the family
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "TILE", 32)
+    template = [f"t{k}" for k in range(364)]
+    own = lambda i, n: [f"o{i}x{k}" for k in range(n)]
+    texts = [" ".join(template + own(f"p{i // 2}", 22) + own(i, 48)) for i in range(500)]
+    sets = [set(neardup.shingles(t, neardup.Words()).tolist()) for t in texts[:3]]
+    like = lambda x, y: len(x & y) / len(x | y)
+    assert like(sets[0], sets[1]) > 0.78 and 0.7 < like(sets[0], sets[2]) < 0.74
+    got = {x.doc_id: x.component_id for x in neardup.near_duplicates(docs(spark, texts)).collect()}
+    assert all(c in (i, i - i % 2) for i, c in got.items())
+    assert sum(got[i] == i - 1 for i in range(1, 500, 2)) >= 0.99 * 250
+
+
 # 5. Embeddings
 
 
