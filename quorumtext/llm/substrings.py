@@ -1,7 +1,9 @@
 """Substring dedup by sliding sentence spans.
 
 A sentence ends at a word that ends in one of .!?;:, or at a line end or, so that text without punctuation is cut too, after a word whose hash is
-0 modulo 16; the cuts depend on nearby words alone, so a passage is cut alike wherever it stands. From every sentence a span runs
+0 modulo 16. What is still longer than WINDOW words is cut after the least word hash of every WINDOW words, so no sentence is longer
+than that. The cuts depend on nearby words alone, so a passage is cut alike wherever it stands, but for its first and last few words: in 50
+words of any text at least one span of 15 is cut alike. From every sentence a span runs
 over the fewest sentences that are at least two and hold at least `least_words` words. Spans are hashed (word hashes summed with
 powers of an odd number, so all spans of a text come from running sums), joined over the whole corpus, and every sentence
 that lies in a repeated span other than the span's first place (smallest id, then sentence number) is removed.
@@ -31,6 +33,7 @@ KEPT_WORDS = 150_000
 POWER = 0x9E3779B97F4A7C15
 UNPOWER = pow(POWER, -1, 1 << 64)
 ENDS = tuple(".!?;:,")
+WINDOW = 10
 _token = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -77,6 +80,12 @@ class Spans:
         v = np.array(values, "uint64")
         end = (v & np.uint64(1)).astype(bool)
         end[np.array(line_ends, "int64")[np.array(line_ends) > 0] - 1] = True
+        if n >= WINDOW:
+            ends = np.concatenate(([0], np.cumsum(end)))
+            at = np.flatnonzero(ends[WINDOW - 1 : -1] == ends[: n - WINDOW + 1])  # windows within one sentence
+            if len(at):
+                within = np.lib.stride_tricks.sliding_window_view(v >> np.uint64(1), WINDOW)[at, ::-1]
+                end[at + WINDOW - 1 - within.argmin(axis=1)] = True
         starts = np.concatenate(([0], np.flatnonzero(end) + 1))
         k = len(starts) - 1
         after = np.maximum(np.arange(k) + 2, np.searchsorted(starts, starts[:-1] + self.least))

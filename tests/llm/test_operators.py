@@ -362,6 +362,16 @@ def test_substrings_against_plain_search(spark):
     assert all(x.text == t for x, t, (_, n) in zip(rows, texts, want) if not n) and sum(n for _, n in want) > 100
 
 
+def test_passages_without_punctuation_always_lose_a_span(spark):
+    r = random.Random(19)
+    passages = [words(r, 51, 100_000) for _ in range(100)]
+    host = lambda p: f"{words(r, r.randint(5, 40), 100_000)} {p} {words(r, r.randint(5, 40), 100_000)}"
+    texts = [host(p) for p in passages] + [host(p) for p in passages]
+    rows = sorted(substrings.dedup_substrings(docs(spark, texts)).collect(), key=lambda x: x.doc_id)
+    lost = [len(t.split()) - len(x.text.split()) for t, x in zip(texts, rows)]
+    assert not any(lost[:100]) and min(lost[100:]) >= 15 and sum(lost[100:]) > 30 * 100
+
+
 # 8. HTML
 
 
