@@ -1,7 +1,7 @@
 """Toxicity of texts that may be written to slip past a filter: noisy-channel deobfuscation, then a classifier.
 
-A word that mixes letters with look-alikes (1, 0, $, @, ..), repeats a letter three times or more, or is spelled out with single
-separators or blanks becomes a lattice: each place offers the letters it may stand for, at a cost. A character language model
+A word that mixes letters with look-alikes (1, 0, $, @, ..) or other signs, repeats a letter, or is spelled out with
+separators or white space becomes a lattice, whatever its length: each place offers the letters it may stand for, at a cost. Numbers stay. A character language model
 (interpolated n-grams over the words of the training texts) scores the paths, and Viterbi picks the best word. Other words
 stay as they are, so most text is never decoded, and decoded words are kept per worker.
 
@@ -21,6 +21,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
+from os.path import commonprefix
 
 import numpy as np
 import pandas as pd
@@ -38,16 +39,17 @@ LOOKALIKES = {
     "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "*": "aeiou", "#": "aeiou", "€": "e", "£": "l",
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "х": "x", "у": "y", "і": "i", "ѕ": "s",
 }
-#: Natural log of the chance that a writer puts a look-alike, doubles a letter, or adds a stray sign.
-SWAPPED, STRETCHED, STRAY = -1.0, -0.5, -3.0
+#: Natural log of the chance that a writer puts a look-alike, stretches a letter, doubles a single one, or adds a stray sign.
+SWAPPED, STRETCHED, DOUBLED, STRAY = -1.0, -0.5, -2.0, -3.0
 
 _signs = "".join(map(re.escape, LOOKALIKES))
 _edges = re.compile(r"^[^\w@$!|+(<*#€£]+|[^\w@$!|+(<*#€£]+$")
 _tail = re.compile(r"([!*#$|+(<])\1+$|(?<=\w)[!*#|+(<]$")
 _plain = re.compile(r"[^\W\d_]+")
-_stretched = re.compile(r"(.)\1\1")
+_repeated = re.compile(r"(.)\1")
+_sign = re.compile(r"[^\w]|_")
 _separated = re.compile(r"[^\W_](?:([._\-~*|/·])[^\W_])(?:\1[^\W_]){2,}")
-_spaced = re.compile(r"(?<!\S)[^\s](?:[ ][^\s]){3,}(?!\S)")
+_spaced = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
 _invisible = re.compile("[​-‏⁠﻿­̀-ͯ]")
 
 
@@ -99,7 +101,7 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
             if c.isalnum():
                 options.append((c * n, STRAY))
         elif c.isalpha():
-            options = [(c * n, 0.0)] if n <= 2 else [(c, STRETCHED), (c * 2, STRETCHED)]
+            options = [(c, 0.0)] if n == 1 else [(c * 2, 0.0), (c, DOUBLED)] if n == 2 else [(c, STRETCHED), (c * 2, STRETCHED)]
         else:
             options = [("", STRAY * 0.3), (c, STRAY * 2)]
         out.append(options)
@@ -109,8 +111,8 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
 def decode(word: str, model: CharModel) -> str:
     """The likeliest word behind an obfuscated one; Viterbi over the last characters as states, ties to the smaller text."""
     keep = model.order - 1
-    states = {"^" * keep: (0.0, "")}
-    for options in lattice(word):
+    states, settled = {"^" * keep: (0.0, "")}, ""
+    for place, options in enumerate(lattice(word), 1):
         after: dict[str, tuple[float, str]] = {}
         for state, (score, text) in states.items():
             for letters, chance in options:
@@ -122,7 +124,11 @@ def decode(word: str, model: CharModel) -> str:
                 if at not in after or found[0] > after[at][0] or found[0] == after[at][0] and found[1] < after[at][1]:
                     after[at] = found
         states = after
-    return min((-(score + model.log(state + "$")), text) for state, (score, text) in states.items())[1]
+        if place % 64 == 0:  # what all paths share is settled, so that long words take linear time
+            shared = commonprefix([text for _, text in states.values()])
+            settled += shared
+            states = {state: (score, text[len(shared) :]) for state, (score, text) in states.items()}
+    return settled + min((-(score + model.log(state + "$")), text) for state, (score, text) in states.items())[1]
 
 
 class Restorer(dict):
@@ -143,14 +149,14 @@ class Restorer(dict):
     def restored(self, word: str) -> str:
         word = _invisible.sub("", _edges.sub("", word))
         bare = _tail.sub("", word)
-        if _plain.fullmatch(bare) and bare.isascii() and not _stretched.search(bare):
+        if _plain.fullmatch(bare) and bare.isascii() and not _repeated.search(bare):
             return bare
         if _separated.fullmatch(bare):
             bare = re.sub(r"[._\-~*|/·]", "", bare)
-        letters = sum(c.isalpha() for c in bare)
-        if not letters or len(bare) > 40 or letters * 3 < len(bare):
+        # digits alone, with or without signs, are a number; signs alone may be a word
+        if not any(c.isalpha() for c in bare) and (any(c.isdigit() for c in bare) or not any(c in LOOKALIKES for c in bare)):
             return bare
-        if not _stretched.search(bare) and not any(c in LOOKALIKES for c in bare):
+        if not _repeated.search(bare) and not _sign.search(bare) and not any(c in LOOKALIKES for c in bare):
             return bare
         return decode(bare, self.model)
 
@@ -159,7 +165,10 @@ class Restorer(dict):
         text = (text or "").lower()
         found = set(map(self.__getitem__, set(text.split())))
         for run in _spaced.finditer(text):
-            found.add(self[run[0].replace(" ", "")])
+            found.add(self["".join(run[0].split())])
+            gaps = set(map(len, re.findall(r"\s+", run[0])))
+            if len(gaps) > 1:  # wider gaps between words that are spelled out
+                found.update(self["".join(w.split())] for w in re.split(r"\s{%d,}" % (min(gaps) + 1), run[0]))
         found.discard("")
         return found
 

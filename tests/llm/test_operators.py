@@ -492,6 +492,20 @@ def test_restores(char_model, written, word):
     assert toxicity.Restorer(char_model)[written] == word
 
 
+@pytest.mark.parametrize("written, word", [("1053r", "loser"), ("1d107", "idiot"), ("id" + "i" * 45 + "ot", "idiot"), ("m.oron", "moron"), ("id-iot", "idiot"), ("iidiot", "idiot"), ("lloser", "loser"), ("$100", "100"), ("12-34", "12-34")])
+def test_restores_what_is_mostly_signs(char_model, written, word):
+    assert toxicity.Restorer(char_model)[written].lstrip("$") == word
+
+
+@pytest.mark.parametrize("text", ["you i  d  i  o  t", "you i\td\ti\to\tt", "m o r o n  i d i o t"])
+def test_words_spelled_out_with_any_white_space(char_model, text):
+    assert "idiot" in toxicity.Restorer(char_model).words(text)
+
+
+def test_long_words_decode_in_linear_time(char_model):
+    assert len(toxicity.decode("1d10t.x" * 2000, char_model)) >= 10_000
+
+
 def test_viterbi_over_lattices_is_the_best_path(char_model):
     import itertools
 
