@@ -56,9 +56,9 @@ QUERIES["op7_substrings"] = op7_substrings
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Classifier:
-    """Trained on the labelled documents outside the held-out third."""
+    """Trained on the labelled documents outside the held-out third, with the character model of all documents' words."""
     labelled = docs.select("doc_id", "text").join(labels.where(fold("doc_id", 3) != 1).select("doc_id", "toxic"), "doc_id")
-    return toxicity.train(labelled.withColumnRenamed("doc_id", "id"))
+    return toxicity.train(labelled.withColumnRenamed("doc_id", "id"), corpus=docs)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

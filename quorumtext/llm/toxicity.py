@@ -2,12 +2,12 @@
 
 A word that mixes letters with look-alikes (1, 0, $, @, ..) or other signs, repeats a letter, or is spelled out with
 separators or white space becomes a lattice, whatever its length: each place offers the letters it may stand for, at a cost. Numbers stay. A character language model
-(interpolated n-grams over the words of the training texts) scores the paths, and Viterbi picks the best word. Other words
+(interpolated n-grams over the words of all texts, summed in Spark) scores the paths, and Viterbi picks the best word. Other words
 stay as they are, so most text is never decoded, and decoded words are kept per worker.
 
 The classifier is a logistic regression on the presence of the words and beginnings of words that most surely mark label 1, or the surest of them alone.
-Training reads at most about `training_rows` labelled rows, chosen by the hash of the id (a choice that depends on the id and
-the number of labelled rows alone); model and language model have bounded numbers of words and n-grams.
+Its training reads at most about `training_rows` labelled rows, chosen by the hash of the id (a choice that depends on the id and
+the number of labelled rows alone). The language model counts every text; only its sums of n-grams come to the driver.
 
 Defined cases: null and empty text have no words and score the intercept; with one class or no rows to learn from, the score is the
 smoothed share of label 1; rows without a label never train; repeated rows are scored each; whole texts count; other
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from quorumtext.llm.common import map_frames, materialize
 
-TRAINING_ROWS, FEATURES, LM_WORDS, ORDER = 20_000, 512, 60_000, 4
+TRAINING_ROWS, FEATURES, ORDER = 20_000, 512, 4
 KEPT_WORDS = 150_000
 
 # Letters that a sign may stand for.
@@ -47,32 +47,49 @@ _edges = re.compile(r"^[^\w@$!|+(<*#€£]+|[^\w@$!|+(<*#€£]+$")
 _tail = re.compile(r"([!*#$|+(<])\1+$|(?<=\w)[!*#|+(<]$")
 _plain = re.compile(r"[^\W\d_]+")
 _repeated = re.compile(r"(.)\1")
+_stretched = re.compile(r"(.)\1\1")
 _sign = re.compile(r"[^\w]|_")
 _separated = re.compile(r"[^\W_](?:([._\-~*|/·])[^\W_])(?:\1[^\W_]){2,}")
 _spaced = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
 _invisible = re.compile("[​-‏⁠﻿­̀-ͯ]")
 
 
+def word_grams(word: str, order: int) -> Iterator[str]:
+    """The n-grams up to order that end at each letter of a word and at its end."""
+    text = "^" * (order - 1) + word + "$"
+    for i in range(order - 1, len(text)):
+        for n in range(order):
+            yield text[i - n : i + 1]
+
+
 class CharModel:
     """Interpolated character n-grams of words with boundaries; unseen contexts fall back to shorter ones."""
 
     def __init__(self, words: dict[str, float], order: int = ORDER):
+        sums: Counter = Counter()
+        for word, weight in words.items():
+            for gram in word_grams(word, order):
+                sums[gram] += weight
+        self._set(sums, order)
+
+    @classmethod
+    def summed(cls, sums: dict[str, float], order: int = ORDER) -> CharModel:
+        """From the weights of all n-grams."""
+        out = cls.__new__(cls)
+        out._set(sums, order)
+        return out
+
+    def _set(self, sums: dict[str, float], order: int) -> None:
         self.order, self.alphabet = order, 2
         self.grams: list[Counter] = [Counter() for _ in range(order)]
         self.contexts: list[Counter] = [Counter() for _ in range(order)]
         self.kinds: list[Counter] = [Counter() for _ in range(order)]
-        letters = set()
-        for word, weight in words.items():
-            text = "^" * (order - 1) + word + "$"
-            letters.update(word)
-            for i in range(order - 1, len(text)):
-                for n in range(order):
-                    gram = text[i - n : i + 1]
-                    if gram not in self.grams[n]:
-                        self.kinds[n][gram[:-1]] += 1
-                    self.grams[n][gram] += weight
-                    self.contexts[n][gram[:-1]] += weight
-        self.alphabet += len(letters)
+        for gram, weight in sums.items():
+            n = len(gram) - 1
+            self.grams[n][gram] = weight
+            self.contexts[n][gram[:-1]] += weight
+            self.kinds[n][gram[:-1]] += 1
+        self.alphabet += len(self.grams[0].keys() - {"$"})
         self.known: dict[str, float] = {}
 
     def log(self, gram: str) -> float:
@@ -231,8 +248,43 @@ class Classifier:
         return score
 
 
-def train(labelled: DataFrame, training_rows: int = TRAINING_ROWS, features: int = FEATURES, lm_words: int = LM_WORDS) -> Classifier:
-    """labelled: id, text, toxic (0 or 1)."""
+def char_model(texts: DataFrame) -> CharModel:
+    """The language model over the plain words of all rows' text. A word counts by the square root of its documents, so that common
+    words don't drown rare ones; weights are whole thousandths, so that sums don't depend on their order."""
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: Counter = Counter()
+        for batch in batches:
+            for text in batch.text:
+                counts.update(set((text or "").lower().split()))
+            if len(counts) > KEPT_WORDS:
+                yield told(counts)
+                counts.clear()
+        yield told(counts)
+
+    def told(counts: Counter) -> pd.DataFrame:
+        return pd.DataFrame([(w, n) for w, n in counts.items() if _plain.fullmatch(w) and not _stretched.search(w)], columns=["word", "n"])
+
+    def spelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: Counter = Counter()
+        for batch in batches:
+            for word, weight in zip(batch.word, batch.weight):
+                for gram in word_grams(word, ORDER):
+                    sums[gram] += weight
+            if len(sums) > KEPT_WORDS:
+                yield pd.DataFrame(list(sums.items()), columns=["gram", "weight"])
+                sums.clear()
+        yield pd.DataFrame(list(sums.items()), columns=["gram", "weight"])
+
+    words = map_frames(texts.select("text"), listed, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    weighed = words.select("word", F.round(1000 * F.sqrt("n")).cast("long").alias("weight"))
+    grams = weighed.mapInPandas(spelled, "gram string, weight long").groupBy("gram").agg(F.sum("weight").alias("weight"))
+    return CharModel.summed({r.gram: r.weight / 1000 for r in sorted(grams.collect())})  # bounded by the alphabet
+
+
+def train(labelled: DataFrame, training_rows: int = TRAINING_ROWS, features: int = FEATURES, corpus: DataFrame | None = None) -> Classifier:
+    """labelled: id, text, toxic (0 or 1). corpus: the texts of the language model, labelled or not; those of labelled if not given."""
+    corpus = labelled if corpus is None else corpus
     labelled = labelled.where("toxic IS NOT NULL")
     share = min(1.0, training_rows / max(1, labelled.select("toxic").count()))
     sample = materialize(labelled.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).select("id", "text", "toxic"), "labelled")
@@ -251,10 +303,7 @@ def train(labelled: DataFrame, training_rows: int = TRAINING_ROWS, features: int
 
         return sample.select("text", "toxic").mapInPandas(run, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where("clean + toxic >= 3")
 
-    raw = counted(lambda: lambda text: {w for w in (text or "").lower().split() if _plain.fullmatch(w)})
-    top = raw.orderBy(F.desc(F.col("clean") + F.col("toxic")), "word").limit(lm_words).collect()
-    # a word counts by the square root of its documents, so that common words don't drown rare ones
-    model = CharModel({r.word: math.sqrt(r.clean + r.toxic) for r in top})
+    model = char_model(corpus)
     shared = sample.sparkSession.sparkContext.broadcast(model)
     c, t = (F.col(x).cast("double") for x in ("clean", "toxic"))
     odds = F.log((t + 0.5) / (bad - t + 0.5)) - F.log((c + 0.5) / (good - c + 0.5))

@@ -549,6 +549,15 @@ def test_toxicity_on_disguised_words(spark):
     assert {x.doc_id for x in toxicity.score(d, model).collect()} == {0, 1, 2}
 
 
+def test_language_model_counts_words_outside_the_training_rows(spark):
+    rows = [(i, "plain words here" if i % 2 else "you moron", i % 2 ^ 1) for i in range(40)]
+    corpus = spark.createDataFrame([(t,) for _, t, _ in rows] + [("the zugzwang",)], "text string")
+    model = toxicity.train(spark.createDataFrame(rows, "id long, text string, toxic int"), corpus=corpus).model
+    assert toxicity.Restorer(model)["zugzw4ng"] == "zugzwang"
+    plain = toxicity.CharModel({"plain": 20**0.5, "words": 20**0.5, "here": 20**0.5, "you": 20**0.5, "moron": 20**0.5, "the": 1.0, "zugzwang": 1.0})
+    assert model.alphabet == plain.alphabet and model.log("zwan") == pytest.approx(plain.log("zwan"), abs=1e-3)
+
+
 # Odd rows, extra columns and empty tables
 
 
