@@ -14,6 +14,7 @@ from dataclasses import dataclass, fields
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quorumtext.functions import charlm
 from quorumtext.functions.text import LINE_BREAK, SPACE, strip
 
 # Function words of German, Turkish and English.
@@ -113,9 +114,17 @@ def flag_pages(lines: DataFrame, keys: list[str], profile: DetectionProfile = De
     return counted.withColumn("has_akkadian", flag)
 
 
-def detect(pages: DataFrame, keys: list[str], profile: DetectionProfile = DetectionProfile(), text: str = "text") -> DataFrame:
-    """pages with has_akkadian; pages without lines are false."""
-    flags = flag_pages(qualify(line_features(page_lines(pages, keys, text), profile), profile), keys, profile)
+def with_perplexity(lines: DataFrame, keys: list[str], model: charlm.CharLM) -> DataFrame:
+    """Lines (keys, line_no, line) with the model's perplexity of each; null for lines shorter than its order."""
+    scores = charlm.perplexity(lines.select(*keys, "line_no", F.col("line").alias("text")), model, [*keys, "line_no"])
+    return lines.join(scores.drop("n_grams"), [*keys, "line_no"], "left")
+
+
+def detect(pages: DataFrame, keys: list[str], profile: DetectionProfile = DetectionProfile(), text: str = "text", model: charlm.CharLM | None = None) -> DataFrame:
+    """pages with has_akkadian; pages without lines are false. Without a model no line has the boost for low perplexity."""
+    lines = page_lines(pages, keys, text)
+    lines = lines if model is None else with_perplexity(lines, keys, model)
+    flags = flag_pages(qualify(line_features(lines, profile), profile), keys, profile)
     return pages.join(flags.select(*keys, "has_akkadian"), keys, "left").withColumn("has_akkadian", F.coalesce("has_akkadian", F.lit(False)))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quorumtext.functions.charlm import CharLM
 from quorumtext.operators.candidates import best_variant, readings
 from quorumtext.operators.detect import DetectionProfile, detect
 from quorumtext.operators.fusion import choose_text, error_map, extract_pages
@@ -28,7 +29,7 @@ def recognize(pages: DataFrame, profile: EnsembleProfile) -> DataFrame:
     return found.join(error_map(failure_rows(pages, failed, profile.angles)), "page_id", "left")
 
 
-def page_text(pages: DataFrame, options: PipelineOptions, profile: EnsembleProfile = EnsembleProfile(), detection: DetectionProfile = DetectionProfile()) -> DataFrame:
+def page_text(pages: DataFrame, options: PipelineOptions, profile: EnsembleProfile = EnsembleProfile(), detection: DetectionProfile = DetectionProfile(), model: CharLM | None = None) -> DataFrame:
     """pages (page_id, pdf_name, page, page_width, layer_text, layer_ok) -> pdf_name, page, page_text, has_akkadian, used_text_layer, method.
 
     Pages whose layer is sound never reach recognition (unless it is forced): they are split off before it, as an expression
@@ -44,7 +45,7 @@ def page_text(pages: DataFrame, options: PipelineOptions, profile: EnsembleProfi
         read = rest.select(*columns).withColumn("ocr_text", F.lit(""))
     every = done.select(*columns).withColumn("ocr_text", F.lit("")).unionByName(read)
     chosen = choose_text(every, options.force_ocr)
-    return detect(chosen, ["page_id"], detection, "page_text").select(*KEYS, "page_text", "has_akkadian", "used_text_layer", "method")
+    return detect(chosen, ["page_id"], detection, "page_text", model).select(*KEYS, "page_text", "has_akkadian", "used_text_layer", "method")
 
 
 def unprocessed(pages: DataFrame, finished: DataFrame) -> DataFrame:

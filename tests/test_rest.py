@@ -65,6 +65,14 @@ def test_detection(spark):
     assert {r.page_id: r.has_akkadian for r in detect.detect(pages, ["page_id"]).collect()} == {1: False, 2: True, 3: False, 4: False}
 
 
+def test_detection_with_perplexity(spark):
+    line = "ša-ra-am i-na-an e-li-su the x1 x2 x3 x4 x5 x6"  # share 0.3, less 0.1 for a function word
+    pages = spark.createDataFrame([(1, line)], "page_id long, text string")
+    model = charlm.train(pages.select("text"))
+    flagged = lambda m: detect.detect(pages, ["page_id"], model=m).first().has_akkadian
+    assert not flagged(None) and flagged(model)
+
+
 def test_char_model(spark, tmp_path):
     texts = spark.createDataFrame([("abab",), ("abc",), ("a",)], "text string")
     model = charlm.train(texts)
