@@ -320,6 +320,13 @@ def char_lm_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return charlm.perplexity(items, charlm.train(items.select("text")), ["item_id"]).select("item_id", "n_grams", F.round("perplexity", 4).alias("perplexity"))
 
 
+@query()
+def char_lm_perplexity_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """char_lm_perplexity over all documents, which train the model, too; no SQL is given."""
+    docs = derived.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return charlm.perplexity(docs, charlm.train(docs.select("text")), ["doc_id"]).select("doc_id", "n_grams", F.round("perplexity", 4).alias("perplexity"))
+
+
 WORDS = {"de": ["der", "die", "und", "in"], "en": ["the", "of", "and", "to"], "es": ["el", "de", "que", "y"], "fr": ["le", "de", "et", "que"]}
 
 

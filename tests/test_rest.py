@@ -84,6 +84,15 @@ def test_char_model(spark, tmp_path):
     assert charlm.load(spark, str(path)).ngrams.first().cnt == 3
 
 
+def test_perplexity_of_all_documents(spark, tmp_path):
+    from quorumtext.plans.queries import QUERIES
+
+    spark.createDataFrame([(1, "a-na a-na a-na"), (2, "qi-bi-ma"), (3, "")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in QUERIES["char_lm_perplexity_documents"](spark, str(tmp_path)).collect()}
+    assert {k: r.n_grams for k, r in got.items()} == {1: 12, 2: 6, 3: 0}
+    assert got[1].perplexity < got[2].perplexity and got[3].perplexity is None
+
+
 def test_guard(spark):
     rows = spark.createDataFrame([("šarrum a", "šarrum b", False), ("šarrum a", "sarrum a", False), ("a\nb", "a b", False), ("abcdefgh", "abcdefgX", True)], "before string, after string, is_akkadian boolean")
     assert [r.accepted for r in guard.accept(rows).collect()] == [True, False, False, False]
