@@ -38,7 +38,9 @@ CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
 }
-_tag = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+_name = re.compile(r"</?([a-zA-Z][^\s/>]*+)")
+_edge = re.compile(r"""[>"']""")
+_long_number = re.compile(r"&#(x?)(?:0{8,}(?=[0-9a-f])|(?=0*+[1-9a-f][0-9a-f]{7}))0*+([0-9a-f]*+;?)", re.I)
 _named = re.compile(r"""(?:class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _word = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -50,12 +52,118 @@ class Block:
     linked: int
 
 
-def blocks(page: str | None) -> list[Block]:
-    """The leaf blocks of a page, in order, with white space folded."""
+class Tags:
+    """Finds the tags of a page, one after the other. Every character is looked at a bounded number of times, however malformed the page is."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.quoted = True
+
+    def end(self, at: int) -> int:
+        """The place of the > that ends a tag whose attributes begin at `at`: the first that isn't in quotes. Where a page ends within
+        quotes, they count for nothing from there on."""
+        page, k = self.page, at
+        while self.quoted:
+            found = _edge.search(page, k)
+            if not found:
+                self.quoted = False
+            elif found[0] == ">":
+                return found.start()
+            elif (k := page.find(found[0], found.end()) + 1) == 0:
+                self.quoted = False
+        return page.find(">", at)
+
+    def __iter__(self) -> Iterator[tuple[int, int, bool, str, str]]:
+        """(start, end, whether it closes, name, attributes) of each tag; comments and declarations have no name. The reader may move on
+        by setting `at`."""
+        page, self.at, seek = self.page, 0, 0
+        while (start := page.find("<", max(self.at, seek))) >= 0:
+            if page.startswith("<!--", start):
+                stop = page.find("-->", start + 4)
+                self.at = stop + 3 if stop >= 0 else len(page)
+                yield start, self.at, False, "", ""
+            elif page.startswith(("<!", "<?"), start):
+                self.at = page.find(">", start) + 1 if start < self.last else len(page)
+                yield start, self.at, False, "", ""
+            elif start < self.last and (name := _name.match(page, start)):
+                stop = self.end(name.end())
+                self.at = stop + 1
+                yield start, self.at, page[start + 1] == "/", name[1].lower(), page[name.end() : stop]
+            else:
+                seek = start + 1
+
+
+def unescape(text: str) -> str:
+    """html.unescape for numbers of any length."""
+    if "&" not in text:
+        return text
+    if "&#" in text:
+        text = _long_number.sub(lambda m: f"&#{m[1]}{m[2]}" if len(m[2].rstrip(";")) < 8 else "\ufffd", text)
+    return html.unescape(text)
+
+
+class Open:
+    """The open elements, with the features that they give to what they hold; each question takes constant time."""
+
+    def __init__(self, known: frozenset[str] | None):
+        self.stack: list[tuple[str, list[str]]] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[str] = []
+        self.active: dict[str, int] = {}
+        self.known, self.set = known, frozenset()
+
+    def push(self, name: str, given: list[str]) -> None:
+        given = [g for g in given if self.known is None or g in self.known]
+        self.places.setdefault(name, []).append(len(self.stack))
+        self.stack.append((name, given))
+        if name in BLOCKS:
+            self.blocks.append(name)
+        for g in given:
+            self.active[g] = self.active.get(g, 0) + 1
+        if given:
+            self.set = None
+
+    def last(self, names) -> int:
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
+    def cut(self, place: int) -> None:
+        """Close what has been opened since, and at, a place."""
+        while len(self.stack) > place:
+            name, given = self.stack.pop()
+            self.places[name].pop()
+            if name in BLOCKS:
+                self.blocks.pop()
+            for g in given:
+                self.active[g] -= 1
+                if not self.active[g]:
+                    del self.active[g]
+            if given:
+                self.set = None
+
+    def close(self, names, until) -> None:
+        """Close the last opened of names, unless one of until was opened after it."""
+        at = self.last(names)
+        if at >= 0 and at > self.last(until - names):
+            self.cut(at)
+
+    def features(self) -> frozenset[str]:
+        if self.set is None:
+            self.set = frozenset(self.active)
+        return self.set
+
+
+CELLS, WHOLE = frozenset({"td", "th", "body"}), frozenset({"table", "tr", "body", "html", "tbody", "thead", "tfoot"})
+HOLDERS = frozenset({"button", "td", "th", "li", "div", "section", "article", "blockquote", "body"})
+
+
+def blocks(page: str | None, known: frozenset[str] | None = None) -> list[Block]:
+    """The leaf blocks of a page, in order, with white space folded. Of the features of ancestors only those known are kept, which a
+    model names: so a block's are bounded however deep it lies."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset[str]]] = [("", frozenset())]
+    page = page or ""
+    tags, opened = Tags(page), Open(known)
     text: list[str] = []
-    linked, links = 0, 0
+    linked, links, done = 0, 0, 0
 
     def flush() -> None:
         nonlocal linked
@@ -63,38 +171,26 @@ def blocks(page: str | None) -> list[Block]:
             joined = " ".join("".join(text).split())
             text.clear()
             if joined:
-                tag = next((t for t, _ in reversed(stack) if t in BLOCKS), "")
-                out.append(Block(joined, stack[-1][1] | {f"in {tag}"}, linked))
+                out.append(Block(joined, opened.features() | {f"in {opened.blocks[-1] if opened.blocks else ''}"}, linked))
         linked = 0
 
-    def close(names: set[str], until: set[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in names:
-                del stack[k:]
-                return
-            if stack[k][0] in until:
-                return
-
-    page, at = page or "", 0
-    while at < len(page):
-        found = _tag.search(page, at)
-        piece = page[at : found.start() if found else len(page)]
-        if piece:
-            piece = html.unescape(piece) if "&" in piece else piece
+    def said(to: int) -> None:
+        nonlocal linked
+        if to > done:
+            piece = unescape(page[done:to])
             text.append(piece)
             if links:
                 linked += len(piece.strip())
-        if not found:
-            break
-        at = found.end()
-        end, name, rest = found.group(1, 2, 3) if found[2] else found.group(4, 5, 6)
+
+    for start, done_at, end, name, rest in tags:
+        said(start)
+        done = done_at
         if not name:
             continue
-        name = name.lower()
         if name in RAW and name != "head":
             if not end and not rest.endswith("/"):
-                closing = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
-                at = closing.end() if closing else len(page)
+                closing = re.compile(rf"</{re.escape(name)}\b", re.I).search(page, done)
+                done = tags.at = page.find(">", closing.end()) + 1 or len(page) if closing else len(page)
             continue
         if name == "a":
             links = max(0, links + (-1 if end else 1)) if end or not links else links
@@ -104,20 +200,18 @@ def blocks(page: str | None) -> list[Block]:
         if name in BLOCKS:
             flush()
         if end:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
-                if stack[k][0] in ("td", "th", "body") and name not in ("table", "tr", "body", "html", "tbody", "thead", "tfoot"):
-                    break
+            at = opened.last((name,))
+            if at >= 0 and (name in WHOLE or at >= opened.last(CELLS)):
+                opened.cut(at)
         elif name not in VOID:
             if name in BLOCKS and name not in ("button", "label", "option", "select"):
-                close({"p"}, {"button", "td", "th", "li", "div", "section", "article", "blockquote", "body"})
+                opened.close({"p"}, HOLDERS)
                 links = 0
             if name in CLOSES:
-                close(*CLOSES[name])
+                opened.close(*CLOSES[name])
             words = {w.lower() for value in _named.findall(rest) for w in _word.findall(value)} if rest else set()
-            stack.append((name, stack[-1][1] | {f"under {name}"} | {f"word {w}" for w in words}))
+            opened.push(name, [f"under {name}", *(f"word {w}" for w in sorted(words))])
+    said(len(page))
     flush()
     return out
 
@@ -144,7 +238,9 @@ class Chain:
         self.emit, self.move, self.start = np.zeros((width, 2)), np.zeros((2, 2)), np.zeros(2)
 
     def scores(self, rows: list[list[int]]) -> np.ndarray:
-        return np.array([self.emit[r].sum(axis=0) for r in rows])
+        of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        emit = self.emit[np.fromiter((x for r in rows for x in r), "int64", len(of))]
+        return np.stack([np.bincount(of, emit[:, k], len(rows)) for k in range(2)], axis=1)
 
     def step(self, rows: list[list[int]], labels: list[int], rate: float, sums: list[np.ndarray]) -> None:
         """One AdaGrad step on the log-likelihood of a page, by forward-backward."""
@@ -173,14 +269,13 @@ class Chain:
 
     def decode(self, rows: list[list[int]]) -> list[int]:
         """The likeliest labels (Viterbi); ties go to main text."""
-        e, back = self.scores(rows), []
-        best = self.start + e[0]
-        for i in range(1, len(rows)):
-            through = best[:, None] + self.move
-            take = np.where(through[1] >= through[0], 1, 0)
-            back.append(take)
-            best = through[take, [0, 1]] + e[i]
-        label = int(best[1] >= best[0])
+        (a, b), (c, d) = self.move.tolist()
+        emit, back = self.scores(rows).tolist(), []
+        x, y = self.start[0] + emit[0][0], self.start[1] + emit[0][1]
+        for p, q in emit[1:]:
+            back.append((y + c >= x + a, y + d >= x + b))
+            x, y = max(x + a, y + c) + p, max(x + b, y + d) + q
+        label = int(y >= x)
         out = [label]
         for take in reversed(back):
             label = int(take[label])
@@ -190,13 +285,13 @@ class Chain:
 
 class Extractor:
     def __init__(self, index: dict[str, int], chain: Chain):
-        self.index, self.chain = index, chain
+        self.index, self.chain, self.known = index, chain, frozenset(index)
 
     def rows(self, found: list[Block]) -> list[list[int]]:
-        return [[self.index[f] for f in r if f in self.index] for r in features(found)]
+        return [sorted(self.index[f] for f in r if f in self.index) for r in features(found)]
 
     def __call__(self, page: str | None) -> str:
-        found = blocks(page)
+        found = blocks(page, self.known)
         if not found:
             return ""
         labels = self.chain.decode(self.rows(found))
