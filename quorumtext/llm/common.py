@@ -5,6 +5,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,69 +16,116 @@ from pyspark.sql import types as T
 #: A word: a run of characters other than space, tab, line feed, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_made: list[tuple] = []
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a session of one process (local mode) that names none gets a
+    temporary one; on a cluster each executor would write to a disk of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="quorumtext-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+class Account:
+    """What a run has written on the way. As a context it deletes all of that at its end, so results that still read it must be
+    written inside. Accounts nest: what an inner one keeps is the outer one's."""
+
+    def __init__(self) -> None:
+        self.written: list[tuple[SparkSession, str, str | None]] = []
+
+    def add(self, spark: SparkSession, path: str, table: str | None = None) -> None:
+        self.written.append((spark, path, table))
+
+    def release(self, *results: DataFrame) -> None:
+        """Delete what none of the results reads."""
+        read = {name for r in results for name in _sources(r)}
+        kept = [x for x in self.written if x[1].rsplit("/", 1)[-1] in read]
+        for spark, path, table in self.written:
+            if (spark, path, table) not in kept:
+                _delete(spark, path, table)
+        self.written = kept
+
+    def __enter__(self) -> Account:
+        self._token = _account.set(self)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        _account.reset(self._token)
+        self.release()
+
+
+#: Holds what no other account does, until the driver ends.
+_rest = Account()
+_account: ContextVar[Account] = ContextVar("account", default=_rest)
+
+
+def tidy(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator that has deleted, when it returns, all it wrote on the way but what its result reads."""
+
+    @wraps(f)
+    def run(*args, **named) -> DataFrame:
+        outer, own = _account.get(), Account()
+        token = _account.set(own)
+        try:
+            result = f(*args, **named)
+            own.release(result)
+        except BaseException:
+            own.release()
+            raise
+        finally:
+            _account.reset(token)
+        outer.written += own.written
+        return result
+
+    return run
+
+
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends at files that outlive any executor."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quorumtext/{name}-{uuid.uuid4().hex}"
+    _account.get().add(spark, path)
     df.write.parquet(path)
-    _made.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
 def bucketed(df: DataFrame, column: str, name: str = "table") -> DataFrame:
-    """Write df to the shared folder as a table bucketed by column: later joins on that column don't shuffle it again."""
+    """Write df to the shared folder as a table bucketed by column: later joins on that column don't shuffle it again. The table
+    goes when its account releases it."""
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"quorumtext_{name}_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/quorumtext/{table}"
+    _account.get().add(spark, path, table)
     df.repartition(n, column).write.bucketBy(n, column).sortBy(column).option("path", path).saveAsTable(table)
-    _made.append((spark, path))
     return spark.table(table)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-class Steps:
-    """What a chain of steps has written and may delete: files of earlier steps that the next step's input doesn't read."""
-
-    def __init__(self) -> None:
-        self.left: list[tuple] = []
+def _sources(df: DataFrame) -> list[str]:
+    """Names of the folders that a plan reads."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    leaves = [leaves.apply(i) for i in range(leaves.size())]
+    roots = [x.relation().location().rootPaths() for x in leaves if x.getClass().getSimpleName() == "LogicalRelation"]
+    return [r.apply(i).getName() for r in roots for i in range(r.size())]
 
-    def begin(self, docs: DataFrame) -> int:
-        if self.left:
-            read = "\n".join(docs.inputFiles())
-            for spark, path in [x for x in self.left if x[1].rsplit("/", 1)[-1] not in read]:
-                _delete(spark, path)
-                self.left.remove((spark, path))
-                _made.remove((spark, path))
-        return len(_made)
 
-    def end(self, mark: int) -> None:
-        self.left += _made[mark:]
+def _delete(spark: SparkSession, path: str, table: str | None = None) -> None:
+    if table:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 @atexit.register
 def _clean() -> None:
-    for spark, path in _made:
-        try:
-            _delete(spark, path)
-        except Exception:  # the session is gone, and with it the gateway
-            return
+    try:
+        _rest.release()
+    except Exception:  # the session is gone, and with it the gateway
+        return
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
