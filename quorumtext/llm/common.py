@@ -84,6 +84,12 @@ def tidy(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return run
 
 
+def release(*results: DataFrame) -> None:
+    """Within a tidy operator: delete what it has written so far but what the results read."""
+    if (account := _account.get()) is not _rest:
+        account.release(*results)
+
+
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends at files that outlive any executor."""
     spark = df.sparkSession

@@ -4,21 +4,23 @@
    8 bits for comparison. Equal sets are one class from here on, so exact copies cost nothing.
 2. Independent trees branch the classes: a node picks one or two of the path tokens (1 / threshold on average, so that a pair at the
    threshold is expected to stay together on one path), and sends each class to the child for its token there. A child with one class
-   ends; a small one is a leaf; a large one branches again. A node's size comes from a count, so a large node is never gathered.
-   Nodes that are still large at the last level are cut into blocks by hash, and the smallest class of each block meets those of the
-   others, in rounds, which holds near copies together; what it leaves apart is met in step 5.
+   ends; one of at most LEAF is a leaf; a larger one branches again, up to LEVELS times, or DEEP times while it holds more than CROWD. A node's size
+   comes from a count, so a large node is never gathered. Nodes that are large after that are crowded: they are cut into
+   blocks by hash, and the smallest class of each block meets those of the others, in rounds, which holds near copies together; what that leaves
+   apart is met in step 5.
 3. In a leaf or block all pairs are compared by their sketches. Of the pairs that may reach the threshold (3.5 standard errors below it)
    it hands on a spanning forest, likeliest first: fewer pairs than classes. They are confirmed on the full sets, and the links make
    components.
-4. An unsure edge of a forest that fails may leave classes apart that another pair would link. The members of such groups
+4. An edge of a forest that fails may leave classes apart that another pair would link. The members of such groups
    that lie in different components meet once more with their full sets, group by group; no pair leaves the group but a link.
-5. A large node of the last level whose classes do not all lie in one component by then is compared whole: its classes, in the order of
+5. A crowded node whose classes do not all lie in one component by then is compared whole: its classes, in the order of
    their components, are cut into tiles, and every pair of tiles that holds two components meets, by sketches first and on full sets
    where those may reach the threshold. Near copies are one component and cost nothing here; the work is quadratic in classes that
    share most of a text without being near copies.
 
 Recall: a pair at similarity 0.75 shares a path of three levels in one tree with a chance of about 0.6, in one of `trees` = 8 with
-0.999, and its sketch passes with 0.9998; more similar pairs, more surely.
+0.999, and its sketch passes with 0.9998; more similar pairs, more surely. In a node that takes all DEEP levels the first of these is
+about 0.98.
 
 Defined cases: null, empty and blank text has an empty set and links with nothing; repeated rows and equal sets link; rows that
 share an id count as one document; a text of one to four words is one shingle; other columns are ignored; an empty table gives none.
@@ -36,11 +38,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorumtext.llm.common import bucketed, map_frames, materialize, whole_groups
+from quorumtext.llm.common import bucketed, map_frames, materialize, release, tidy, whole_groups
 from quorumtext.llm.components import components
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-PATHS, SKETCH, TREES, LEVELS, LEAF, BLOCK, TILE = 48, 256, 8, 5, 16, 128, 256
+PATHS, SKETCH, TREES, LEVELS, DEEP, LEAF, CROWD, BLOCK, TILE = 48, 256, 8, 3, 5, 16, 8192, 128, 256
 KEPT_WORDS = 150_000
 _RNG = np.random.default_rng(20240229)
 MULTIPLIERS = _RNG.integers(1 << 31, size=PATHS + SKETCH, dtype="uint32") * np.uint32(2) + np.uint32(1)
@@ -208,6 +210,11 @@ def compared(rows: DataFrame, keys: list[str], threshold: float) -> DataFrame:
     return grouped.mapInPandas(run, "a long, b long, group string")
 
 
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    # whether the wanted ids happen to be few must not change how texts move from one size to the next
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.distinct().hint("merge"), "doc_id", "left_semi")
+
+
 def reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     common = len(np.intersect1d(x, y, assume_unique=True))
     return 100 * common >= percent * (len(x) + len(y) - common) > 0
@@ -285,34 +292,36 @@ def met(members: DataFrame, texts: DataFrame, percent: int, width: int) -> DataF
 
 def candidates(classes: DataFrame, threshold: float, trees: int) -> tuple[DataFrame, DataFrame | None]:
     """classes (rep, n_shingles, path, sketch; bucketed by rep) -> forest edges and open members of all leaves and blocks, and the
-    members (node, rep) of the nodes that are large at the last level, if there are any."""
-    sketches = classes.select("rep", "n_shingles", "sketch")
+    members (node, rep) of the crowded nodes, if there are any."""
     roots = F.transform(F.sequence(F.lit(1), F.lit(trees)), lambda t: F.xxhash64(t))
-    nodes, found, crowded = classes.select("rep", roots.alias("nodes"), "path"), [], None
-    for _ in range(LEVELS):
+    nodes, groups, crowded, most = classes.select("rep", roots.alias("nodes"), "path"), [], None, 0
+    for level in range(1, DEEP + 1):
         children = materialize(branched(nodes, threshold), "nodes")
         sizes = materialize(children.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
         children = materialize(children.join(sizes, "node"), "nodes")
-        large = children.where(F.col("size") > LEAF)
-        small = children.where(F.col("size") <= LEAF).select("node", "rep").join(sketches, "rep")
-        found.append(materialize(compared(small, ["node"], threshold), "pairs"))
-        if large.isEmpty():
+        largest = sizes.agg(F.max("size")).first()[0] or 0
+        groups.append(children.where(F.col("size") <= LEAF).select(F.lit(level).alias("at"), "node", F.lit(0).cast("long").alias("block"), "rep"))
+        stay = LEAF if level < LEVELS else max(LEAF, CROWD) if level < DEEP else largest
+        if stay > LEAF and largest > LEAF:
+            some = children.where(F.col("size").between(LEAF + 1, stay)).select("node", "rep", "size")
+            crowded, most = some if crowded is None else crowded.unionByName(some), max(most, min(stay, largest))
+        if largest <= stay:
             break
-        nodes = large.select("rep", F.array("node").alias("nodes")).join(classes.select("rep", "path"), "rep")
-    else:
-        members, turn = large.select("node", "rep", "size"), 0
-        crowded = large.select("node", "rep")
-        while not members.isEmpty():
-            # blocks of a node, then their smallest classes as members of the next round, until one block holds a node
-            cut = members.withColumn("block", F.pmod(F.xxhash64("node", "rep", F.lit(turn)), F.ceil(F.col("size") / BLOCK)))
-            found.append(materialize(compared(cut.select("node", "block", "rep").join(sketches, "rep"), ["node", "block"], threshold), "pairs"))
-            heads = materialize(cut.where(F.col("size") > BLOCK).groupBy("node", "block").agg(F.min("rep").alias("rep")), "heads")
-            counts = materialize(heads.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
-            members, turn = materialize(heads.select("node", "rep").join(counts, "node"), "heads"), turn + 1
-    out = found[0].withColumn("from", F.lit(0))
-    for k, p in enumerate(found[1:], 1):
-        out = out.unionByName(p.withColumn("from", F.lit(k)))
-    return out, crowded
+        nodes = children.where(F.col("size") > stay).select("rep", F.array("node").alias("nodes")).join(classes.select("rep", "path"), "rep")
+    # blocks of a crowded node, then their smallest classes as members of the next round, until one block holds a node
+    turned, turn = crowded, 0
+    while most:
+        cut = turned.withColumn("block", F.pmod(F.xxhash64("node", "rep", F.lit(turn)), F.ceil(F.col("size") / BLOCK)))
+        groups.append(cut.select(F.lit(-1 - turn).alias("at"), "node", "block", "rep"))
+        heads = cut.where(F.col("size") > BLOCK).groupBy("node", "block").agg(F.min("rep").alias("rep"), F.first("size").alias("size"))
+        most, turn = -(-most // BLOCK) if most > BLOCK else 0, turn + 1
+        if most:
+            turned = materialize(heads.select("node", "rep", F.ceil(F.col("size") / BLOCK).alias("size")), "heads")
+    met_in = groups[0]
+    for g in groups[1:]:
+        met_in = met_in.unionByName(g)
+    rows = met_in.join(classes.select("rep", "n_shingles", "sketch"), "rep")
+    return materialize(compared(rows, ["at", "node", "block"], threshold), "pairs"), crowded if crowded is None else crowded.select("node", "rep")
 
 
 def apart_in_tiles(crowded: DataFrame, classes: DataFrame, named: DataFrame, threshold: float) -> DataFrame:
@@ -358,6 +367,7 @@ def apart_in_tiles(crowded: DataFrame, classes: DataFrame, named: DataFrame, thr
     return pairs.mapInPandas(met_by_sketch, "group string, a long, component long")
 
 
+@tidy
 def near_duplicates(docs: DataFrame, threshold: float = 0.75, width: int = 5, trees: int = TREES) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id linked to it, over any number of links), kept."""
     percent = round(threshold * 100)
@@ -366,31 +376,27 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, width: int = 5, tr
     classes = sets.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), *firsts)
     classes = bucketed(classes.drop("key"), "rep", "classes")
     found, crowded = candidates(classes, threshold, trees)
+    release(*[x for x in (sets, classes, found, crowded) if x is not None])
     pairs = materialize(found.where("b IS NOT NULL").select("a", "b").distinct(), "pairs")
-    left = found.where("b IS NULL").select(F.concat_ws("/", "from", "group").alias("group"), "a")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(left.select(F.col("a").alias("doc_id"))).distinct()
-    # whether the wanted ids happen to be few must not change how texts move from one size to the next
-    texts = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.hint("merge"), "doc_id", "left_semi"), "texts")
-    links = materialize(confirmed(pairs, texts, percent, width).distinct(), "links")
+    links = materialize(confirmed(pairs, texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))), percent, width).distinct(), "links")
     named = components(links.toDF("u", "v"))
+    left = found.where("b IS NULL").select("group", "a")
     members = left.join(named.select(F.col("v").alias("a"), "component"), "a", "left").select("group", "a", F.coalesce("component", "a").alias("component"))
     members = materialize(members, "members")
     apart = members.groupBy("group").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("group")
-    more = materialize(met(members.join(materialize(apart, "apart"), "group"), texts, percent, width).distinct(), "links")
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        named = components(links.toDF("u", "v"))
+    open_groups = members.join(materialize(apart, "apart"), "group")
     if crowded is not None:
-        open_groups = materialize(apart_in_tiles(crowded, classes, named, threshold), "members")
-        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(open_groups.select(F.col("a").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")
-        more = materialize(met(open_groups, texts, percent, width).distinct(), "links")
+        open_groups = open_groups.unionByName(apart_in_tiles(crowded, classes, named, threshold))
+    open_groups = materialize(open_groups, "open")
+    if not open_groups.isEmpty():
+        more = materialize(met(open_groups, texts_of(docs, open_groups.select(F.col("a").alias("doc_id"))), percent, width).distinct(), "links")
         if not more.isEmpty():
             named = components(links.unionByName(more).toDF("u", "v"))
     reps = sets.where("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"))
     reps = materialize(reps.join(named.withColumnRenamed("v", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component")), "names")
     out = sets.select("doc_id", "n_shingles", "key").join(reps, "key", "left")
     component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    return materialize(out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept")), "components")
 
 
 ORACLE = r"""

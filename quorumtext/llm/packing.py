@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quorumtext.llm.common import map_frames, materialize
+from quorumtext.llm.common import map_frames, materialize, tidy
 
 #: Pre-tokenization pattern of byte-level BPE: fixed value of the public format.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -135,6 +135,7 @@ def slots(patterns: list[tuple[int, list[int]]]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["length", "first", "sequence", "offset"], dtype="int64").sort_values(["length", "first"], ignore_index=True)
 
 
+@tidy
 def pack(docs: DataFrame, vocabulary: str, room: int = 1024, separator: int = 0, keep_ids: bool = False) -> DataFrame:
     """One row per piece, with sequence_id and offset; rows of a sequence are gapless from 0 and add up to room at most."""
     parts = materialize(cut(docs, vocabulary, room, separator, keep_ids), "pieces").withColumn(

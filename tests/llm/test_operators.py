@@ -231,10 +231,12 @@ def test_forest_keeps_what_an_unsure_edge_may_part():
     assert neardup.forest(a, b, np.array([0.9, 0.9, 0.9]), 0.85) == ([0, 1], set())
 
 
-def test_large_family_of_a_template_is_compared_whole(spark, monkeypatch):
+@pytest.mark.parametrize("crowd", [8192, 64])
+def test_large_family_of_a_template_is_compared_whole(spark, monkeypatch, crowd):
     # strangers share 0.72 of their shingles, each text and its one partner about 0.8; blocks far smaller than the family
     monkeypatch.setattr(neardup, "BLOCK", 16)
     monkeypatch.setattr(neardup, "TILE", 32)
+    monkeypatch.setattr(neardup, "CROWD", crowd)
     template = [f"t{k}" for k in range(364)]
     own = lambda i, n: [f"o{i}x{k}" for k in range(n)]
     texts = [" ".join(template + own(f"p{i // 2}", 22) + own(i, 48)) for i in range(500)]
@@ -249,18 +251,10 @@ def test_large_family_of_a_template_is_compared_whole(spark, monkeypatch):
 # 5. Embeddings
 
 
-def test_near_vectors_against_all_pairs(spark):
-    r = np.random.default_rng(5)
-    rows = []
-    for k in range(30):
-        base = r.normal(size=16)
-        rows += [(base + r.normal(size=16) * 0.05 * r.random(), int(k % 2)) for _ in range(int(r.integers(1, 8)))]
-    rows = [([float(x) for x in v], label) for v, label in rows]
-    rows += [(rows[0][0], 0)] * 3 + [([2 * x for x in rows[0][0]], 0), (None, 0), ([0.0] * 16, 0), ([float("nan")] * 16, 0), ([float("inf")] * 16, 0), (rows[0][0], None), ([None] * 16, 0), ([1.0], 0), ([], 1)]
-    df = spark.createDataFrame([(i, v, label) for i, (v, label) in enumerate(rows)], "vec_id long, embedding array<float>, label int").withColumn("key", F.lit(1))
-    stored = {x.vec_id: x for x in df.collect()}
-    good = {i: np.array(x.embedding, "float64") for i, x in stored.items() if x.label is not None and x.embedding is not None and len(x.embedding) == 16 and None not in x.embedding and np.isfinite(np.array(x.embedding, "float64")).all() and any(x.embedding)}
-    n, parent = Counter(), {i: i for i in stored}
+def plain_vectors(rows, threshold=0.98):
+    """rows: vec_id -> (vector, label) -> (links, smallest id reached, kept), by all pairs."""
+    good = {i: np.array(v, "float64") for i, (v, label) in rows.items() if label is not None and v and None not in v and np.isfinite(np.array(v, "float64")).all() and any(v)}
+    n, parent = Counter(), {i: i for i in rows}
 
     def find(x):
         while parent[x] != x:
@@ -269,16 +263,54 @@ def test_near_vectors_against_all_pairs(spark):
 
     for i in good:
         for j in good:
-            if i < j and stored[i].label == stored[j].label and good[i] @ good[j] / np.linalg.norm(good[i]) / np.linalg.norm(good[j]) >= 0.98:
+            if i < j and rows[i][1] == rows[j][1] and len(good[i]) == len(good[j]) and good[i] @ good[j] / np.linalg.norm(good[i]) / np.linalg.norm(good[j]) >= threshold:
                 n[i] += 1
                 n[j] += 1
                 a, b = find(i), find(j)
                 parent[max(a, b)] = min(a, b)
+    return {i: (n[i], find(i), find(i) == i) for i in rows}
+
+
+def vectors_of_many_lengths(r):
+    rows = []
+    for k in range(60):
+        base = r.normal(size=(16, 16, 3, 5, 1)[k % 5])
+        rows += [(base + r.normal(size=len(base)) * 0.05 * r.random(), int(k % 2)) for _ in range(int(r.integers(1, 8)))]
+    rows = [([float(x) for x in v], label) for v, label in rows]
+    rows += [(rows[0][0], 0)] * 3 + [([2 * x for x in rows[0][0]], 0), (None, 0), ([0.0] * 16, 0), ([float("nan")] * 16, 0), ([float("inf")] * 16, 0), (rows[0][0], None), ([None] * 16, 0), ([1.0], 0), ([], 1)]
+    return rows + [([0.5, -0.0], 1), ([0.5, 0.0], 1), ([1.0, 0.1], 1), ([1e30, 1e29], 1)]
+
+
+@pytest.mark.parametrize("kind, tile, axes", [("float", 1024, 1 << 22), ("double", 4, 1 << 22), ("float", 7, 20)])
+def test_near_vectors_against_all_pairs(spark, monkeypatch, kind, tile, axes):
+    monkeypatch.setattr(embeddings, "TILE", tile)
+    monkeypatch.setattr(embeddings, "AXES", axes)
+    rows = vectors_of_many_lengths(np.random.default_rng(5))
+    df = spark.createDataFrame([(i, v, label) for i, (v, label) in enumerate(rows)], f"vec_id long, embedding array<{kind}>, label int").withColumn("key", F.lit(1))
+    want = plain_vectors({x.vec_id: (x.embedding, x.label) for x in df.collect()})
     got = {x.vec_id: (x.n_links, x.component_id, x.kept) for x in embeddings.near_vectors(df).collect()}
-    assert got == {i: (n[i], find(i), find(i) == i) for i in stored} and sum(n.values()) > 50
+    assert got == want and sum(x[0] for x in want.values()) > 200
     assert embeddings.near_vectors(df.where("vec_id < 0")).count() == 0
 
 
+def test_only_near_tiles_meet(spark):
+    """Of all pairs of tiles, few are left to compare."""
+    r, width = np.random.default_rng(8), (2 - 2 * 0.98) ** 0.5
+
+    def pairs(clusters):
+        centers = r.normal(size=(clusters, 8))
+        rows = [(int(k * 32 + i), (centers[k] + r.normal(size=8) * 0.02).astype("float32").tobytes()) for k in range(clusters) for i in range(32)]
+        classes = spark.createDataFrame(rows, "rep long, v binary").selectExpr("0 AS label", "8 AS size", "rep", "1L AS copies", "v")
+        axes = spark.sparkContext.broadcast(embeddings.principal_axes(classes, "float32"))
+        tiles = embeddings.tiles_of(classes, axes, "float32", width)
+        return tiles.count(), embeddings.tile_pairs(tiles, width).count()
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(embeddings, "TILE", 32)
+        tiles, met = pairs(320)
+    assert tiles >= 320 and tiles < met < 0.1 * tiles * (tiles + 1) / 2
+
+
 def test_tiles_drop_no_pair():
     r = np.random.default_rng(1)
     x = r.normal(size=(200, 40))
