@@ -5,11 +5,13 @@ source's weight in the mix, its running integral the share of the source's deman
 A document stands in its source's stream at the words before it; inverting the running integral there gives the
 training position, and sorting by position gives the training order.
 
-Nothing is collected: running sums go through (source, bucket) totals, where a bucket is a prefix of the md5 of the id,
-so a source with a third of all rows is spread over 4096 groups. Only the table of sources meets in one task.
+Nothing is collected: running sums go through (source, bucket) totals, where a bucket is a prefix of the md5 of the id (of the text's
+hash where there is no id), so a source with a third of all rows is spread over 4096 groups, or more where there are so many rows that a group
+would hold over about GROUP. Only the table of sources meets in one task: sources are expected to be few enough to be listed.
 
-Defined cases: null text has size 0; null sources form a source of their own, last in order; repeated rows count each;
-an empty table gives an empty plan; a null id sorts first in its source; other columns are ignored.
+Defined cases: null text has size 0; null sources form a source of their own, last in order; rows without an id and rows that share
+one are rows of their own, each with its place and copies (the hash of the row decides between them); an empty table gives an empty
+plan; other columns are ignored by the plan and kept in the training order.
 """
 
 from __future__ import annotations
@@ -19,10 +21,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quorumtext.llm.common import WORD, materialize
+from quorumtext.llm.common import WORD, materialize, tidy
 
 Schedule = Sequence[tuple[float, float]]
 
+#: Rows of a source that are ordered together.
+GROUP = 20_000
+
 #: Weights 5, 2, 1: the heaviest sources early, the lightest late.
 SCHEDULES: tuple[Schedule, ...] = (((0.0, 7.5), (1.0, 2.5)), ((0.0, 2.0), (1.0, 2.0)), ((0.0, 0.5), (1.0, 1.5)))
 
@@ -75,48 +80,61 @@ def _position(middle, schedules: Sequence[Schedule]):
     return t0 + F.when(root > 0, F.lit(2.0) * rest / root).otherwise(F.lit(0.0))
 
 
-def mix(docs: DataFrame, schedules: Sequence[Schedule] = SCHEDULES, share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """The plan of a mix: one row per document.
+def _sized(docs: DataFrame, *carried) -> DataFrame:
+    """doc_id, source, size, order (of the rows of a source) and tie of each row, with columns carried along."""
+    whole = [F.col(c) for c, kind in docs.dtypes if not any(x in kind for x in ("map<", "variant"))]
+    order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.xxhash64("text").cast("string"))).cast("binary"))
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    return docs.select("doc_id", "source", size.alias("size"), order.alias("order"), F.xxhash64(*whole).alias("tie"), *carried)
 
-    doc_id, source, size (words), source_size, target (of its source), before (words ahead of it in its source), taken
-    (words the mix takes: the source's stream is read from its start, over again at most `most` times, and cut at the
-    target, so at most one document of a source is taken in part), copies (whole copies when documents aren't cut: one
-    for each time that its middle lies before the target), position (of its first copy, null where nothing is taken).
-    """
-    weights = [integrate(s)[-1] for s in schedules]
-    order = F.coalesce(F.md5(F.col("doc_id").cast("string").cast("binary")), F.lit(""))
-    sized = materialize(
-        docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "sizes"
-    ).withColumns({"key": F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")), "order": order, "bucket": F.substring(order, 1, 3)})
-    totals = sized.groupBy("key", "bucket").agg(F.sum("size").alias("words"), F.first("source").alias("source"))
+
+def _planned(rows: DataFrame, sizes: DataFrame, schedules: Sequence[Schedule], share: float, most: float) -> DataFrame:
+    """rows (of _sized) with source_size, target, rank, before, taken, copies; sizes are the same rows, written."""
+    digits, n = 3, sizes.count()
+    while n > GROUP * 16**digits:
+        digits += 1
+    keyed = lambda df: df.withColumns({"key": F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")), "bucket": F.substring("order", 1, digits)})
+    totals = keyed(sizes).groupBy("key", "bucket").agg(F.sum("size").alias("words"), F.first("source").alias("source"))
     sources = totals.groupBy("key").agg(F.sum("words").alias("source_size"), F.first("source").alias("source"))
-    targets = source_targets(sources, weights, share, most).drop("source")
+    targets = source_targets(sources, [integrate(s)[-1] for s in schedules], share, most).drop("source")
     ahead = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("key", "bucket", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("offset")).join(targets, "key")
-    within = Window.partitionBy("key", "bucket").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("key", "bucket").orderBy("order", "doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
     stop, start = F.floor(F.col("target") + 0.5), F.col("before")
     passes = [start + F.col("source_size") * k for k in range(int(-(-most // 1)))]
     return (
-        sized.join(offsets, ["key", "bucket"])
+        keyed(rows).join(offsets, ["key", "bucket"])
         .withColumn("before", F.col("offset") + F.coalesce(F.sum("size").over(within), F.lit(0)))
         .withColumn("taken", sum((F.least("size", F.greatest(F.lit(0), stop - p)) for p in passes), F.lit(0)).cast("long"))
         .withColumn("copies", sum(((p + F.col("size") / 2 < stop).cast("int") for p in passes), F.lit(0)))
-        .withColumn("position", F.when(F.col("taken") > 0, _position(F.least(F.lit(1.0), (start + F.col("size") / 2) / F.col("target")), schedules)))
-        .select("doc_id", "source", "size", "source_size", "target", "before", "taken", "copies", "position", "rank")
-    )
+        .drop("key", "bucket", "offset")
+    )
 
 
-def training_order(docs: DataFrame, schedules: Sequence[Schedule] = SCHEDULES, share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """The mixed corpus: docs' columns, a row for each whole copy, range-sorted by training position.
+@tidy
+def mix(docs: DataFrame, schedules: Sequence[Schedule] = SCHEDULES, share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """The plan of a mix: one row per document.
 
-    Documents that share an id share its plan row's copies; ids are expected to be unique here.
+    doc_id, source, size (words), source_size, target (of its source), before (words ahead of it in its source), taken
+    (words the mix takes: the source's stream is read from its start, over again at most `most` times, and cut at the
+    target, so at most one document of a source is taken in part), copies (whole copies when documents aren't cut: one
+    for each time that its middle lies before the target), position (of its first copy, null where nothing is taken).
     """
-    plan = mix(docs, schedules, share, most).groupBy("doc_id").agg(*[F.first(c).alias(c) for c in ("source_size", "target", "before", "size", "copies", "rank")])
-    plan = plan.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    sizes = materialize(_sized(docs), "sizes")
+    position = F.when(F.col("taken") > 0, _position(F.least(F.lit(1.0), (F.col("before") + F.col("size") / 2) / F.col("target")), schedules))
+    return _planned(sizes, sizes, schedules, share, most).withColumn("position", position).select("doc_id", "source", "size", "source_size", "target", "before", "taken", "copies", "position", "rank")
+
+
+@tidy
+def training_order(docs: DataFrame, schedules: Sequence[Schedule] = SCHEDULES, share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """The mixed corpus: docs' columns, a row for each whole copy, range-sorted by training position. docs is read twice and must not
+    change in between."""
+    sizes = materialize(_sized(docs), "sizes")
+    rows = _planned(_sized(docs, F.struct("*").alias("row")), sizes, schedules, share, most)
+    copies = rows.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     middle = F.least(F.lit(1.0), (F.col("before") + F.col("copy") * F.col("source_size") + F.col("size") / 2) / F.col("target"))
-    plan = plan.select(F.col("doc_id").alias("id"), "copy", _position(middle, schedules).alias("position"))
-    rows = docs.select(F.col("doc_id").alias("key"), F.struct("*").alias("row"))  # so that no column of docs meets one of the plan
-    return rows.join(plan, F.col("key").eqNullSafe(F.col("id"))).orderBy("position", "id", "copy").select("row.*")
+    placed = copies.select(_position(middle, schedules).alias("position"), "order", "doc_id", "tie", "copy", "row")
+    return placed.orderBy("position", "order", "doc_id", "tie", "copy").select("row.*")
 
 
 ORACLE = r"""
