@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 from quorumtext.llm.common import map_frames, materialize, tidy
 
+#: Pieces for which a length is spread over 1024 buckets; more pieces, more buckets.
+BUCKETED = 1 << 27
 #: Pre-tokenization pattern of byte-level BPE: fixed value of the public format.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -39,14 +41,13 @@ def byte_alphabet() -> dict[str, int]:
 
 
 @lru_cache(2)
-def encoder(file: str):
-    """text list -> id lists of the tokenizer in file.
+def encoder(file: bytes):
+    """text list -> id lists of the tokenizer that a file holds.
 
     The merge engine of tiktoken gives the same ids several times as fast; texts that hold an added token or letters
     beyond Latin, where the two libraries' Unicode tables might differ, go to tokenizers itself.
     """
-    with open(file, encoding="utf-8") as f:
-        spec = json.load(f)
+    spec = json.loads(file)
     before = spec["pre_tokenizer"] or {}
     usual = spec["model"]["type"] == "BPE" and not spec["normalizer"] and before.get("type") == "ByteLevel" and not before["add_prefix_space"]
     added = [t["content"] for t in spec["added_tokens"]]
@@ -62,19 +63,22 @@ def encoder(file: str):
 
 
 @lru_cache(2)
-def _exact(file: str):
+def _exact(file: bytes):
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(file)
+    return Tokenizer.from_buffer(file)
 
 
 def cut(docs: DataFrame, vocabulary: str, room: int = 1024, separator: int = 0, keep_ids: bool = False) -> DataFrame:
-    """One row per piece: doc_id, piece (0, 1, ..), start, length, ids_crc32, doc_tokens, with keep_ids also ids."""
+    """One row per piece: doc_id, piece (0, 1, ..), start, length, ids_crc32, doc_tokens, with keep_ids also ids. Only the driver
+    opens the vocabulary's file."""
     if room < 1:
         raise ValueError("room must be 1 or more")
+    with open(vocabulary, "rb") as f:
+        file = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(vocabulary)
+        encode = encoder(file.value)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.doc_id, batch.text):
@@ -138,9 +142,9 @@ def slots(patterns: list[tuple[int, list[int]]]) -> pd.DataFrame:
 @tidy
 def pack(docs: DataFrame, vocabulary: str, room: int = 1024, separator: int = 0, keep_ids: bool = False) -> DataFrame:
     """One row per piece, with sequence_id and offset; rows of a sequence are gapless from 0 and add up to room at most."""
-    parts = materialize(cut(docs, vocabulary, room, separator, keep_ids), "pieces").withColumn(
-        "bucket", F.pmod(F.xxhash64("doc_id", "ids_crc32", "piece"), F.lit(1024))
-    )
+    parts = materialize(cut(docs, vocabulary, room, separator, keep_ids), "pieces")
+    buckets = 1024 * (parts.count() // BUCKETED + 1)
+    parts = parts.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "ids_crc32", "piece"), F.lit(buckets)))
     totals = materialize(parts.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n")), "lengths")
     histogram = {r.length: r.n for r in totals.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # room rows at most
     whole = histogram.pop(room, 0)
