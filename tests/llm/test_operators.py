@@ -111,6 +111,42 @@ def test_training_order_repeats_whole_documents(spark):
     assert Counter(x.doc_id for x in rows) == Counter({k: v for k, v in plan.items() if v}) and rows[0].asDict().keys() == set(d.columns)
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_rows_without_or_with_shared_ids_have_their_own_place(spark, parts):
+    import hashlib
+
+    r = random.Random(5)
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, words(r, r.randint(1, 40)), "en", r.choice(["a", "b", None]), i) for i in range(300)]
+    d = spark.createDataFrame(rows, DOCS).repartition(parts)
+    ties = {x.n_chars: x for x in mixing._sized(d, "n_chars").collect()}
+    streams, size = defaultdict(list), defaultdict(int)
+    for x in rows:
+        t = ties[x[4]]
+        assert x[0] is None or t.order == hashlib.md5(str(x[0]).encode()).hexdigest()
+        streams[x[3]].append(((t.order, x[0] or 0, t.size, t.tie), len(x[1].split()), x[4]))
+        size[x[3]] += len(x[1].split())
+    order = sorted(size, key=lambda s: (s is None, s or ""))
+    target = plain_targets(size, {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}, 1.5 * sum(size.values()))
+    grid, want = np.linspace(0, 1, 20_001), {}
+    for k, source in enumerate(order):
+        weight = np.interp(grid, *zip(*mixing.SCHEDULES[k % 3]))
+        used = np.concatenate(([0], np.cumsum((weight[1:] + weight[:-1]) / 2 * np.diff(grid))))
+        at = 0
+        for turn in range(2):
+            for _, n, row in sorted(streams[source]):
+                if at + n / 2 < np.floor(target[source] + 0.5):
+                    want[row, turn] = np.interp(min(1, (at + n / 2) / target[source]), used / used[-1], grid)
+                at += n
+    got = [x.n_chars for x in mixing.training_order(d).collect()]
+    assert Counter(got) == Counter(row for row, _ in want)
+    turn: Counter = Counter()
+    places = []
+    for row in got:
+        places.append(want[row, turn[row]])
+        turn[row] += 1
+    assert all(b >= a - 2e-4 for a, b in zip(places, places[1:])) and places[-1] - places[0] > 0.9
+
+
 # 2. Token counts
 
 
@@ -345,49 +381,92 @@ def test_language(spark):
     assert {x.doc_id: x.lang_pred for x in langid.identify(other, ~held_out).collect()} == {i: x.lang_pred for i, x in got.items()}
 
 
-def test_blocks_of_a_long_text_count_each_gram_once():
-    codes = np.random.default_rng(1).integers(97, 105, langid.BLOCK + 1000).astype("uint32")
-    whole = np.concatenate(list(langid.hashed(codes, 3, 64)))
-    assert len(whole) == 3 * len(codes) - 3
+def plain_grams(text, longest, buckets):
+    letters = "".join(c.lower() if c.isalpha() else " " for c in text or "")
+    codes = [0 if c == " " else ord(c) for c in " " + " ".join(letters.split()) + " "]
+    for at in range(len(codes)):
+        h = 0
+        for n in range(1, min(longest, len(codes) - at) + 1):
+            h = (h ^ codes[at + n - 1]) * 0x9E3779B1 & 0xFFFFFFFF
+            h ^= h >> 15
+            yield ((h + n * 0x85EBCA6B) & 0xFFFFFFFF) % buckets
+
+
+@pytest.mark.parametrize("block", [64, 1 << 16])
+def test_language_against_plain_bayes(spark, monkeypatch, block):
+    monkeypatch.setattr(langid, "BLOCK", block)
+    r, buckets, longest = random.Random(31), 512, 3
+    texts = ["".join(r.choice("abcdé Éß. \n漢") for _ in range(r.randint(0, 60))) for _ in range(150)] + [None, "", "...", "a", "ab " * 500]
+    langs = [r.choice(["x", "y", "z", None]) for _ in texts]
+    d = docs(spark, texts, langs)
+    held_out = common.fold("doc_id", 5) == 0
+    got = {x.doc_id: x for x in langid.identify(d, ~held_out, buckets=buckets, longest=longest).collect()}
+    counts = {k: np.ones(buckets) for k in "xyz"}
+    for i, (t, lang) in enumerate(zip(texts, langs)):
+        if lang and zlib.crc32(str(i).encode()) % 5 and any(c.isalpha() for c in t or ""):
+            for g in plain_grams(t, longest, buckets):
+                counts[lang][g] += 1
+    logs = {k: np.log(c / c.sum()).astype("float32").astype("float64") for k, c in counts.items()}
+    for i, t in enumerate(texts):
+        if not any(c.isalpha() for c in t or ""):
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        total = {k: sum(logs[k][g] for g in plain_grams(t, longest, buckets)) for k in "xyz"}
+        best = max(sorted(total), key=total.get)
+        assert got[i].lang_pred == best and got[i].score == pytest.approx(1 / sum(np.exp(v - total[best]) for v in total.values()), rel=1e-6)
 
 
 # 7. Substrings
 
 
+def plain_sentences(text):
+    """Lists of words, by reading word after word; long sentences are cut after the least hash of each window."""
+    import xxhash
+
+    out = []
+    for line in (text or "").split("\n"):
+        now = []
+        for w in re.findall(r"[^\x20\x09-\x0D]+", line):
+            now.append(w)
+            if re.search(r"""[.!?…。！？]["'”’»)\]}]*$""", w):
+                out.append(now)
+                now = []
+        out += [now] if now else []
+    cut = []
+    for sentence in out:
+        h = [xxhash.xxh3_128_intdigest(w.encode()) % (1 << 64) for w in sentence]
+        ends = {len(sentence) - 1} | {max(range(at, at + 10), key=lambda i: (-h[i], i)) for at in range(len(h) - 9)}
+        for i, w in enumerate(sentence):
+            if i == 0 or i - 1 in ends:
+                cut.append([])
+            cut[-1].append(w)
+    return cut
+
+
 def plain_substrings(texts, least):
-    known, seen, out = substrings.Words(), set(), []
-    for t in texts:
-        sents = []
-        for line in (t or "").split("\n"):
-            now = []
-            for w in re.findall(r"[^\x20\x09-\x0D]+", line):
-                now.append(w)
-                if known[w] & 1:
-                    sents.append(now)
-                    now = []
-            if now:
-                sents.append(now)
+    """Every run of two or more sentences and least words: what lies in one that stands before, in this text or another, goes."""
+    first, all_runs, out = {}, [], []
+    for i, t in enumerate(texts):
+        sents = plain_sentences(t)
+        runs = [(a, b, tuple(w for s in sents[a:b] for w in s)) for a in range(len(sents)) for b in range(a + 2, len(sents) + 1)]
+        all_runs.append((sents, [x for x in runs if len(x[2]) >= least]))
+        for a, b, key in all_runs[-1][1]:
+            first[key] = min(first.get(key, (i, a)), (i, a))
+    for i, (sents, runs) in enumerate(all_runs):
         drop = [False] * len(sents)
-        for a in range(len(sents)):
-            b = n = 0
-            while a + b < len(sents) and (b < 2 or n < least):
-                n += len(sents[a + b])
-                b += 1
-            if b >= 2 and n >= least:
-                key = tuple(w for s in sents[a : a + b] for w in s)
-                if key in seen:
-                    drop[a : a + b] = [True] * b
-                seen.add(key)
+        for a, b, key in runs:
+            if first[key] != (i, a):
+                drop[a:b] = [True] * (b - a)
         out.append(([w for s, d in zip(sents, drop) if not d for w in s], sum(drop)))
     return out
 
 
-def test_substrings_against_plain_search(spark):
+def test_substrings_against_every_run(spark):
     r = random.Random(9)
-    sentence = lambda: words(r, r.randint(1, 9), 10_000) + r.choice([".", "!", "?", "\n", ","])
-    passages = [" ".join(sentence() for _ in range(12)) for _ in range(5)]
-    texts = [None, "", "one", passages[0]] + [" ".join([sentence(), sentence(), r.choice(passages), sentence()] if r.random() < 0.5 else [sentence() for _ in range(9)]) for _ in range(80)]
-    texts += [texts[20], passages[1] + " " + passages[1]]
+    sentence = lambda: words(r, r.randint(1, 9), 10_000) + r.choice([".", "!", "?", "\n", ",", '."', "?)", ""])
+    passages = [" ".join(sentence() for _ in range(r.randint(3, 12))) for _ in range(8)] + [words(r, 60, 10_000)]
+    texts = [None, "", "one", passages[0]] + [" ".join([sentence(), sentence(), r.choice(passages), sentence()] if r.random() < 0.6 else [sentence() for _ in range(9)]) for _ in range(80)]
+    texts += [texts[20], passages[1] + " " + passages[1], "漢字。 かな！ " * 12, "same word " * 30, "x"]
     rows = sorted(substrings.dedup_substrings(docs(spark, texts), 15).collect(), key=lambda x: x.doc_id)
     want = plain_substrings(texts, 15)
     assert [((x.text or "").split(), x.n_removed) for x in rows] == want and rows[0].text is None
@@ -445,54 +524,82 @@ def test_viterbi_is_the_best_path():
 # 9. Syncmers
 
 
-def plain_fingerprint(t):
+def plain_anchors(t, k=24, s=8):
+    """(place, hash) of the closed syncmers, k-mer by k-mer."""
     import struct
 
     import xxhash
 
-    signed = lambda v: v - (1 << 64) if v >> 63 else v
-    chain = lambda seed, v: xxhash.xxh64_intdigest(struct.pack("<q", signed(v & (1 << 64) - 1)), seed=seed)
-    h = [signed(xxhash.xxh64_intdigest(w.encode(), seed=42)) for w in re.findall(r"[^ \t\n\x0b\f\r]{1,12}", t.lower())]
-    out = set()
-    if h and len(h) < 4:
-        a = 0
-        for v in h:
-            a = chain(chain(42, a), v)
-        out = {a & 0xFFFFFFFF}
-    for i in range(len(h) - 3):
-        if min(h[i], h[i + 3]) <= min(h[i + 1], h[i + 2]):
+    signed = lambda v: (v & (1 << 64) - 1) - (1 << 64 if v >> 63 & 1 else 0)
+    chain = lambda seed, v: xxhash.xxh64_intdigest(struct.pack("<q", v), seed=seed)
+    if 0 < len(t) < k:
+        return [(0, xxhash.xxh64_intdigest(t.encode(), seed=42) & 0xFFFFF)]
+
+    def smer(m):
+        out = 0
+        for i, c in enumerate(m):
+            out ^= xxhash.xxh64_intdigest(c.encode(), seed=42) << (len(m) - 1 - i)
+        return signed(out)
+
+    found = []
+    for at in range(len(t) - k + 1):
+        h = [smer(t[at + i : at + i + s]) for i in range(k - s + 1)]
+        if min(h[0], h[-1]) <= min(h):
             a = 42
-            for v in h[i : i + 4]:
-                a = chain(a, v)
-            out.add(a & 0xFFFFFFFF)
-    return sorted(out)[:64]
+            for i in range(0, k, s):
+                a = chain(a, h[i])
+            found.append((at, a & 0xFFFFF))
+    return found
+
 
+def plain_fingerprint(t):
+    """The fingerprint and its pairs of neighbours."""
+    found = plain_anchors(t)
+    places = [-1] + [p for p, _ in found]
+    pairs = {(x, y, q - p) for (p, x), (q, y) in zip(found, found[1:])} if len(found) > 1 else {x for _, x in found}
+    return "".join(f"{h:05x}{p - q - 1:x}" for (p, h), q in zip(found, places)), pairs
 
-def test_edit_study_against_plain(spark):
+
+@pytest.mark.parametrize("block", [32, 8192])
+def test_edit_study_against_plain(spark, monkeypatch, block):
     import hashlib
 
+    monkeypatch.setattr(syncmers, "BLOCK", block)
     r = random.Random(7)
-    texts = ["", "a b", "x" * 50, "ÄÖ é 漢字 a b c"] + [words(r, r.randint(0, 200)) for _ in range(60)] + ["same words in a text"] * 2
+    texts = ["", "a b", "x" * 150, "ÄÖ é 漢字 a b c", "a😀" * 40, "y" * 24, "z" * 47, "w" * 48] + [words(r, r.randint(0, 200)) for _ in range(40)] + ["".join(r.choice("漢字仮名交") for _ in range(r.randint(0, 300))) for _ in range(20)] + ["same words in a text"] * 2
     ids = r.sample(range(10_000), len(texts))
     d = docs(spark, texts, ids=ids)
     order = sorted(range(len(ids)), key=lambda k: ids[k])
-    prints = [plain_fingerprint(t) for t in texts]
-
-    def like(a, b):
-        if not a and not b:
-            return 1.0
-        u = sorted(set(a) | set(b))[:64]
-        s = len(set(a) & set(b) & set(u)) / len(u)
-        return 2 * s / (1 + s)
-
+    like = lambda a, b: 2 * len(a & b) / (len(a) + len(b)) if a or b else 1.0
     got = {x.doc_id: x for x in syncmers.edit_study(d).collect()}
     assert len(got) == len(texts)
     for k, nxt in zip(order, order[1:] + order[:1]):
         t, m = texts[k], len(texts[k]) // 2
         edited = t[: len(t) - m] + texts[nxt][:m]
-        x, e = got[ids[k]], plain_fingerprint(edited)
-        assert (x.n_chars, x.edited_sha256, x.fingerprint, x.edited_fingerprint) == (len(t), hashlib.sha256(edited.encode()).hexdigest(), "".join(f"{v:08x}" for v in prints[k]), "".join(f"{v:08x}" for v in e))
-        assert x.near_edited == pytest.approx(like(prints[k], e)) and x.near_next == pytest.approx(like(prints[k], prints[nxt]))
+        x, (own, a), (changed, b), (_, c) = got[ids[k]], plain_fingerprint(t), plain_fingerprint(edited), plain_fingerprint(texts[nxt])
+        assert (x.n_chars, x.edited_sha256, x.fingerprint, x.edited_fingerprint) == (len(t), hashlib.sha256(edited.encode()).hexdigest(), own, changed)
+        assert x.near_edited == pytest.approx(like(a, b)) and x.near_next == pytest.approx(like(a, c))
+
+
+def test_an_inserted_character_changes_anchors_near_it_alone(spark):
+    r = random.Random(3)
+    text = "".join(r.choice("漢字仮名交文章長短") for _ in range(2000))
+    rows = spark.createDataFrame([(0, text), (1, text[:5] + "新" + text[5:])], "id long, text string")
+    a, b = (x.p for x in rows.select("id", syncmers.pairs(syncmers.codes(syncmers.anchors(F.col("text"), F.length("text")))).alias("p")).orderBy("id").collect())
+    assert len(set(a) & set(b)) > 0.95 * len(a) and 150 < len(a) < 350
+
+
+def test_ranges_of_many_ids_plan_in_seconds(spark):
+    import time
+
+    began = time.time()
+    bounds = list(range(0, 65_536 * 610, 610))
+    found = spark.range(1).select(syncmers._place(F.lit(39_000_000), bounds).alias("at"), syncmers._place(F.lit(-1), bounds).alias("low")).first()
+    assert found["at"] == 39_000_000 // 610 + 1 and found["low"] == 0 and time.time() - began < 30
+    ids = spark.range(200_000).withColumnRenamed("id", "doc_id")
+    cut = syncmers.quantiles(ids, 200_000, 100)
+    sizes = np.diff([0, *cut, 200_000])
+    assert len(cut) == 99 and sizes.max() < 3 * 2000
 
 
 @pytest.mark.parametrize("range_rows", [1, 3, 10, 1000])
