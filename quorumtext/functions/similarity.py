@@ -1,6 +1,6 @@
 """Sequence similarity of comparison keys, as Python's difflib defines it: matching blocks, popularity heuristic included.
 
-No Spark expression has this measure (edit distance is another), so it is the one Arrow UDF of the engine. Equal keys have ratio 1 and empty
+No Spark expression has this measure (edit distance is another), so it is the one kind of Arrow UDF of the engine: by value here, over arrays in fusion. Equal keys have ratio 1 and empty
 ones 0 against others without matching, and repeated pairs in a batch are matched once.
 """
 
@@ -23,16 +23,16 @@ def ratio(a: str, b: str) -> float:
     return SequenceMatcher(None, a, b).ratio()
 
 
+class Ratios(dict):
+    """(a, b) -> ratio, matched when first asked for."""
+
+    def __missing__(self, pair: tuple[str, str]) -> float:
+        self[pair] = found = ratio(*pair)
+        return found
+
+
 @F.pandas_udf(T.DoubleType())
 def similarity(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for a, b in pairs:
-        known: dict[tuple[str, str], float] = {}
-        out = []
-        for pair in zip(a, b):
-            if None in pair:
-                out.append(None)
-                continue
-            if pair not in known:
-                known[pair] = ratio(*pair)
-            out.append(known[pair])
-        yield pd.Series(out, dtype="float64")
+        known = Ratios()
+        yield pd.Series([None if None in pair else known[pair] for pair in zip(a, b)], dtype="float64")

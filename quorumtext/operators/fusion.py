@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quorumtext.functions.similarity import ratio
+from quorumtext.functions.similarity import Ratios
 from quorumtext.functions.text import alnum_ratio, comparison_key, completeness, contains_arabic, diacritic_richness, normalize_whitespace, split_lines, strip
 
 PAGE = ("page_id", "angle", "angle_ord")
@@ -21,9 +21,10 @@ PAGE = ("page_id", "angle", "angle_ord")
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
 def similarities(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Element by element similarity of two arrays of keys."""
+    """Element by element similarity of two arrays of keys; pairs that repeat in a batch are matched once."""
     for a, b in pairs:
-        yield pd.Series([[ratio(x, y) for x, y in zip(p, q)] for p, q in zip(a, b)], dtype=object)
+        known = Ratios()
+        yield pd.Series([[known[pair] for pair in zip(p, q)] for p, q in zip(a, b)], dtype=object)
 
 
 def _weight(weights: dict[str, float] | None) -> callable:
@@ -159,8 +160,8 @@ def extract_pages(pages: DataFrame, candidates: DataFrame, weights: dict[str, fl
     return joined.withColumns({"text": F.coalesce("text", F.lit("")), "method": F.lit("ensemble"), "engines_used": F.coalesce("engines_used", F.array().cast("array<string>"))})
 
 
-def choose_text(pages: DataFrame, force_ocr: bool = False) -> DataFrame:
-    """pages (layer_text, layer_ok, ocr_text) with page_text, used_text_layer and method.
+def choose_text(pages: DataFrame, force_ocr: bool = False, kind: str = "ensemble") -> DataFrame:
+    """pages (layer_text, layer_ok, ocr_text) with page_text, used_text_layer and method (text_layer, or ocr_ and the kind of recognition).
 
     A sound text layer is taken unless OCR is forced; forced OCR that reads nothing falls back to a sound layer.
     """
@@ -169,5 +170,5 @@ def choose_text(pages: DataFrame, force_ocr: bool = False) -> DataFrame:
     return pages.withColumns({
         "page_text": F.when(layer, F.col("layer_text")).otherwise(F.coalesce("ocr_text", F.lit(""))),
         "used_text_layer": layer,
-        "method": F.when(layer, "text_layer").otherwise("ocr_ensemble"),
+        "method": F.when(layer, "text_layer").otherwise(f"ocr_{kind}"),
     })

@@ -16,10 +16,11 @@ from quorumtext.sources.engines import failure_rows, loaded, read_lines
 KEYS = ["pdf_name", "page"]
 
 
-def recognize(pages: DataFrame, profile: EnsembleProfile) -> DataFrame:
-    """page_id, ocr_text, winner, engines, errors and scores for pages, by the registered line sources that start."""
+def recognize(pages: DataFrame, profile: EnsembleProfile, kind: str = "ensemble") -> DataFrame:
+    """page_id, ocr_text, winner, engines, errors and scores for pages, by the registered line sources that start: those of the profile, or
+    the one engine that kind names."""
     sized = pages.select("page_id", "page_width")
-    ready, failed = loaded(list(profile.engines), pages)
+    ready, failed = loaded(list(profile.engines) if kind == "ensemble" else [kind], pages)
     if not ready:  # every page is empty, and says why
         empty = pages.select("page_id", F.lit("").alias("ocr_text"), F.array().cast("array<string>").alias("engines_used"), F.lit("ensemble").alias("winner"))
         return empty.join(error_map(failure_rows(pages, failed, profile.angles)), "page_id", "left")
@@ -40,11 +41,11 @@ def page_text(pages: DataFrame, options: PipelineOptions, profile: EnsembleProfi
     rest = pages.where(~sound) if options.prefer_text_layer and not options.force_ocr else pages
     columns = ["page_id", *KEYS, "layer_text", "layer_ok"]
     if options.ocr_fallback:
-        read = rest.select(*columns).join(recognize(rest, profile).select("page_id", "ocr_text"), "page_id", "left")
+        read = rest.select(*columns).join(recognize(rest, profile, options.ocr_fallback).select("page_id", "ocr_text"), "page_id", "left")
     else:
         read = rest.select(*columns).withColumn("ocr_text", F.lit(""))
     every = done.select(*columns).withColumn("ocr_text", F.lit("")).unionByName(read)
-    chosen = choose_text(every, options.force_ocr)
+    chosen = choose_text(every, options.force_ocr, options.ocr_fallback or "ensemble")
     return detect(chosen, ["page_id"], detection, "page_text", model).select(*KEYS, "page_text", "has_akkadian", "used_text_layer", "method")
 
 

@@ -6,7 +6,8 @@ parsers turn each engine's own result shape, kept as a nested column, into lines
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,20 +28,39 @@ def registered() -> list[str]:
     return list(_registry)
 
 
+@contextmanager
+def registering(**sources: LineSource) -> Iterator[None]:
+    """Sources that are registered, and the only ones, within a block."""
+    before = dict(_registry)
+    _registry.clear()
+    _registry.update(sources)
+    try:
+        yield
+    finally:
+        _registry.clear()
+        _registry.update(before)
+
+
 def enabled(names: list[str] | None) -> list[str]:
     """The engines to run, in the order given; unknown names are passed over, none means all."""
     return [n for n in (names or DEFAULT_ENGINES) if n in _registry or n in DEFAULT_ENGINES]
 
 
 def read_lines(pages: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """Lines of all enabled engines over pages, with engine and engine_ord."""
-    parts = [_registry[n](pages).withColumns({"engine": F.lit(n), "engine_ord": F.lit(k)}) for k, n in enumerate(enabled(names)) if n in _registry]
+    """Lines of all enabled engines over pages, with engine and engine_ord; lines of other pages are dropped, once for all engines.
+
+    Sources may end in shuffles by page. A union then claims to be partitioned by page, too, and loses that when adaptive execution
+    changes one of its children while the query runs, though joins above it were planned to rely on it. So each part hands on its
+    page ids as an expression, of which no partitioning is known, and what needs the union by page shuffles it.
+    """
+    opaque = F.bitwise_not(F.bitwise_not(F.col("page_id").cast("long")))
+    parts = [_registry[n](pages).withColumns({"page_id": opaque, "engine": F.lit(n), "engine_ord": F.lit(k)}) for k, n in enumerate(enabled(names)) if n in _registry]
     if not parts:
         raise ValueError("no line source is registered under the enabled names")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.join(pages.select(F.col("page_id").cast("long").alias("page_id")).distinct(), "page_id", "left_semi")
 
 
 def loaded(names: list[str] | None, pages: DataFrame) -> tuple[list[str], dict[str, str]]:
@@ -68,8 +88,8 @@ def failure_rows(pages: DataFrame, failed: dict[str, str], angles: tuple[int, ..
 
 
 def recorded(lines: DataFrame) -> LineSource:
-    """A source that replays recorded lines for the pages asked for."""
-    return lambda pages: lines.join(pages.select("page_id").distinct(), "page_id", "left_semi")
+    """A source that replays recorded lines, whatever the pages: read_lines() keeps those asked for."""
+    return lambda pages: lines
 
 
 def _lines(df: DataFrame, keys: list[str], items: Column) -> DataFrame:

@@ -162,14 +162,58 @@ def test_plan_skips_recognition_where_the_layer_is_sound(spark):
     pages = spark.createDataFrame([(1, "a.pdf", 1, 520.0, "layer text", True), (2, "a.pdf", 2, 520.0, "", False)], "page_id long, pdf_name string, page int, page_width double, layer_text string, layer_ok boolean")
     line = "page_id long, angle int, angle_ord int, variant string, variant_ord int, line_no int, text string, bbox struct<x0:double,y0:double,x1:double,y1:double>, raw_confidence double"
     lines = spark.createDataFrame([(p, 0, 0, "original", 0, 0, "sa-ra-am i-na-an e-li-su DUMU", None, 0.9) for p in (1, 2)], line)
-    engines.register("paddle", engines.recorded(lines))
-    got = {r.page: r for r in extract.page_text(pages, options.PipelineOptions()).collect()}
-    assert (got[1].page_text, got[1].used_text_layer, got[1].has_akkadian) == ("layer text", True, False)
-    assert (got[2].page_text, got[2].method, got[2].has_akkadian) == ("sa-ra-am i-na-an e-li-su DUMU", "ocr_ensemble", True)
-    _, failed = engines.loaded(["paddle", "kraken"], pages)
-    assert list(failed) == ["kraken"] and {r.page_id: len(r.errors) for r in extract.recognize(pages, options.EnsembleProfile()).collect()} == {1: 12, 2: 12}
-    forced = {r.page: r for r in extract.page_text(pages, options.PipelineOptions(force_ocr=True)).collect()}
-    assert forced[1].page_text.startswith("sa-ra-am") and not forced[1].used_text_layer
+    with engines.registering(paddle=engines.recorded(lines)):
+        got = {r.page: r for r in extract.page_text(pages, options.PipelineOptions()).collect()}
+        assert (got[1].page_text, got[1].used_text_layer, got[1].has_akkadian) == ("layer text", True, False)
+        assert (got[2].page_text, got[2].method, got[2].has_akkadian) == ("sa-ra-am i-na-an e-li-su DUMU", "ocr_ensemble", True)
+        _, failed = engines.loaded(["paddle", "kraken"], pages)
+        assert list(failed) == ["kraken"] and {r.page_id: len(r.errors) for r in extract.recognize(pages, options.EnsembleProfile()).collect()} == {1: 12, 2: 12}
+        forced = {r.page: r for r in extract.page_text(pages, options.PipelineOptions(force_ocr=True)).collect()}
+        assert forced[1].page_text.startswith("sa-ra-am") and not forced[1].used_text_layer
+    assert not engines.registered()
+
+
+def page_lines(spark, n, texts):
+    """Pages without a layer, and recorded lines of each engine that say its own text; lines of other pages among them."""
+    pages = spark.createDataFrame([(p, "a.pdf", p, 520.0, "", False) for p in range(n)], "page_id long, pdf_name string, page int, page_width double, layer_text string, layer_ok boolean")
+    line = "page_id long, angle int, angle_ord int, variant string, variant_ord int, line_no int, text string, bbox struct<x0:double,y0:double,x1:double,y1:double>, raw_confidence double"
+    rows = {e: spark.createDataFrame([(p, 0, 0, "original", 0, k, f"{t} line {k} of page {p}", None, 0.9) for p in range(n + 3) for k in range(2)], line) for e, t in texts.items()}
+    return pages, rows
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+@pytest.mark.parametrize("count", [1, 2, 4])
+def test_plan_with_several_engines(spark, count, shuffled):
+    # sources may end in a join or a shuffle by page, which a union then claims to keep
+    names = list(engines.DEFAULT_ENGINES[:count])
+    pages, lines = page_lines(spark, 40, dict.fromkeys(names, "the same"))
+    own = lambda df: lambda p: df.join(p.select("page_id").distinct(), "page_id", "left_semi").repartition(7, "page_id")
+    for _ in range(3):
+        with engines.registering(**{n: own(df) if shuffled else engines.recorded(df) for n, df in lines.items()}):
+            found = extract.page_text(pages, options.PipelineOptions())
+            got = {r.page: (r.page_text, r.method) for r in found.collect()}
+        assert got == {p: (f"the same line 0 of page {p}\nthe same line 1 of page {p}", "ocr_ensemble") for p in range(40)}
+
+
+def test_named_engine_reads_alone(spark):
+    pages, lines = page_lines(spark, 2, {"paddle": "read by paddle", "doctr": "read by doctr, with more words and marks: šé"})
+    with engines.registering(**{n: engines.recorded(df) for n, df in lines.items()}):
+        alone = extract.page_text(pages, options.PipelineOptions.resolve({}, engine="PaddleOCR")).collect()
+        both = extract.page_text(pages, options.PipelineOptions.resolve({})).collect()
+        none = extract.page_text(pages, options.PipelineOptions.resolve({}, engine="tesseract")).collect()
+    assert all(r.page_text.startswith("read by paddle") and r.method == "ocr_paddle" for r in alone)
+    assert all(r.page_text.startswith("read by doctr") and r.method == "ocr_ensemble" for r in both) and all(r.page_text == "" for r in none)
+
+
+def test_columns_resolve_as_a_run_does(spark):
+    rows = [(a, b, e, f, g) for a in ("", None, "out") for b in ("", None, "conf") for e in ("", None, "PaddleOCR", "multi", "other") for f in (True, False) for g in (True, False, None)]
+    df = spark.createDataFrame(rows, "a string, b string, e string, f boolean, g boolean")
+    got = df.select("*", *[v.alias(k) for k, v in options.resolve_columns(*map(F.col, "abefg")).items()]).collect()
+    for r in got:
+        if (r.f or r.g) and r.ocr_fallback is None:
+            continue  # a run refuses that
+        o = options.PipelineOptions.resolve({"output": {"output_directory": r.b}, "ocr": {"force_ocr_on_text_layer": r.g}}, output_dir=r.a, engine=r.e, force_ocr=r.f)
+        assert (o.output_root, o.ocr_fallback, o.force_ocr) == (r.output_root, r.ocr_fallback, r.force_ocr)
 
 
 def test_stream(spark, tmp_path):
