@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quorumtext.functions.text import diacritic_richness, normalize_whitespace, strip
@@ -24,7 +24,8 @@ def quality(text: Column, confidence: Column) -> Column:
 
 def readings(lines: DataFrame, layout: Layout = Layout()) -> DataFrame:
     """Lines (with page_width) to one row per engine and variant, text in reading order. Missing confidences don't count in the mean."""
-    ordered = reading_order(lines, READING, layout)
+    # dealt by what all steps up to the best variant share, so that texts move once
+    ordered = reading_order(lines.repartition("page_id", "angle", "engine"), READING, layout)
     grouped = ordered.groupBy(*READING).agg(
         F.array_sort(F.collect_list(F.struct("position", "text"))).alias("lines"),
         F.coalesce(F.avg("raw_confidence"), F.lit(0.0)).alias("confidence"),
@@ -37,6 +38,7 @@ def readings(lines: DataFrame, layout: Layout = Layout()) -> DataFrame:
 def best_variant(candidates: DataFrame) -> DataFrame:
     """One candidate per page, angle and engine: the best quality, the first variant of equals."""
     keys = [k for k in READING if not k.startswith("variant")]
-    order = Window.partitionBy(*keys).orderBy(F.desc("quality"), "variant_ord")
-    ranked = candidates.where(strip(F.col("text")) != "").withColumn("quality", quality(F.col("text"), F.col("confidence")))
-    return ranked.withColumn("rank", F.row_number().over(order)).where("rank = 1").drop("rank", "quality", "variant_ord")
+    rest = [c for c in candidates.columns if c not in keys]
+    better = F.struct(quality(F.col("text"), F.col("confidence")), -F.col("variant_ord"))
+    best = candidates.where(strip(F.col("text")) != "").groupBy(*keys).agg(F.max_by(F.struct(*rest), better).alias("best"))
+    return best.select(*keys, *[F.col(f"best.{c}").alias(c) for c in rest if c != "variant_ord"])

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import argparse
 import json
 import os
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import Column
@@ -30,6 +32,20 @@ def setting(config: dict[str, Any], *paths: str, default: Any = None) -> Any:
     return default
 
 
+def setting_column(*values: Column, default: Any = None) -> Column:
+    """setting() over columns: the first that isn't null or empty."""
+    return F.coalesce(*[F.nullif(v, F.lit("")) for v in values], F.lit(default))
+
+
+def resolve_columns(output_dir: Column, configured_dir: Column, engine: Column, force_ocr: Column, configured_force: Column) -> dict[str, Column]:
+    """PipelineOptions.resolve() over columns, for tables of runs: output_root, ocr_fallback, force_ocr."""
+    return {
+        "output_root": setting_column(output_dir, configured_dir, default=PipelineOptions.output_root),
+        "ocr_fallback": dispatch_column(setting_column(engine, default="ensemble")),
+        "force_ocr": F.coalesce(force_ocr, F.lit(False)) | F.coalesce(configured_force, F.lit(False)),
+    }
+
+
 def dispatch(engine: str) -> str | None:
     """The kind of recognition that an engine name asks for; None if it isn't known."""
     name = engine.lower()
@@ -74,10 +90,32 @@ class PipelineOptions:
             **more,
         )
 
+    def arguments(self) -> list[str]:
+        """The options as arguments of the command page-text, with what was passed through at the end."""
+        flags = [("--manifest", self.manifest), ("--inputs", None if self.manifest else self.inputs), ("--output-root", self.output_root), ("--prefer-text-layer", self.prefer_text_layer), ("--ocr-fallback", self.ocr_fallback)]
+        flags += [("--force-ocr", self.force_ocr), ("--status-bar", self.status_bar), ("--profile", self.profile), ("--progress-csv", self.progress_csv)]
+        return [x for name, value in flags if value for x in ([name] if value is True else [name, str(value)])] + list(self.passthrough)
+
+    @classmethod
+    def from_arguments(cls, arguments: Sequence[str]) -> PipelineOptions:
+        """From arguments of the command page-text; the last of repeated ones counts."""
+        parser = argparse.ArgumentParser(prog="page-text", allow_abbrev=False)
+        for name in ("inputs", "manifest", "output-root", "profile", "progress-csv"):
+            parser.add_argument(f"--{name}")
+        parser.add_argument("--ocr-fallback", choices=("paddle", "ensemble", "none"))
+        for name in ("prefer-text-layer", "force-ocr", "status-bar"):
+            parser.add_argument(f"--{name}", action="store_true")
+        given = {k: v for k, v in vars(parser.parse_args(list(arguments))).items() if v is not None}
+        return cls(**given | {"ocr_fallback": None if given.get("ocr_fallback", "none") == "none" else given["ocr_fallback"], "inputs": None if given.get("manifest") else given.get("inputs")})
+
+    def settled(self) -> PipelineOptions:
+        """With what was passed through applied, as if it had been said last."""
+        return replace(PipelineOptions.from_arguments(self.arguments()), passthrough=())
+
     def explain(self) -> str:
-        """What a run would do, one option a line."""
+        """What a run would do, one option a line, and the arguments that say so."""
         said = [f"{k}: {v}" for k, v in vars(self).items() if v not in (None, (), False)]
-        return "\n".join(["extract_pages", *said])
+        return "\n".join(["extract_pages", *said, "Mapped command:", "quorumtext page-text " + " ".join(self.arguments())])
 
 
 def validate(config_path: str | None = None, input_dir: str | None = None, input_file: str | None = None) -> list[str]:

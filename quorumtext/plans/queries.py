@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quorumtext.functions import charlm, geometry, text
 from quorumtext.operators import candidates as readings
 from quorumtext.operators import detect, evaluate, fusion, guard, layout, manifest, pairing, pairs
-from quorumtext.plans.options import dispatch_column
+from quorumtext.plans.options import dispatch_column, resolve_columns
 from quorumtext.sources import derived, sinks
 
 QUERIES: dict = {}
@@ -133,11 +133,14 @@ def engine_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.table(spark, sf_dir, "events").select("event_id", dispatch_column(name).alias("fallback"))
 
 
-@query("""SELECT event_id, coalesce(nullif(CASE WHEN event_id % 3 = 0 THEN '' ELSE event_type END, ''), nullif(props, ''), 'reports/output') AS output_root, event_id % 7 = 0 OR event_type = 'error' AS force_ocr FROM events""")
+@query("""SELECT event_id, coalesce(nullif(CASE WHEN event_id % 3 = 0 THEN '' ELSE event_type END, ''), nullif(props, ''), 'reports/output') AS output_root,
+  CASE event_id % 5 WHEN 0 THEN 'paddle' WHEN 3 THEN NULL ELSE 'ensemble' END AS ocr_fallback, event_id % 7 = 0 OR event_type = 'error' AS force_ocr FROM events""")
 def option_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = F.when(F.col("event_id") % 3 == 0, "").otherwise(F.col("event_type"))
-    root = F.coalesce(F.nullif(first, F.lit("")), F.nullif("props", F.lit("")), F.lit("reports/output"))
-    return derived.table(spark, sf_dir, "events").select("event_id", root.alias("output_root"), ((F.col("event_id") % 7 == 0) | (F.col("event_type") == "error")).alias("force_ocr"))
+    """Runs' arguments and configuration; an engine that isn't named is the ensemble."""
+    given = F.when(F.col("event_id") % 3 == 0, "").otherwise(F.col("event_type"))
+    engine = F.get(F.array(*map(F.lit, ENGINES)), (F.col("event_id") % 5).cast("int"))
+    found = resolve_columns(given, F.col("props"), engine, F.col("event_id") % 7 == 0, F.col("event_type") == "error")
+    return derived.table(spark, sf_dir, "events").select("event_id", *[v.alias(k) for k, v in found.items()])
 
 
 # Layout and geometry ----------------------------------------------------------------------------------------------------
@@ -351,7 +354,7 @@ def _ascii_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {READ}, e AS (SELECT page_id, levenshtein(translate(gold, 'nl', 'u1'), gold)::DOUBLE / length(gold) AS cer FROM ascii_turns WHERE length(gold) > 0)
 SELECT page_id, round(cer, 6) AS cer, round(greatest(0.0, (1.0 - cer) * 100.0), 6) AS accuracy FROM e""")
 def cer_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _ascii_turns(spark, sf_dir).withColumn("cer", evaluate.cer(F.col("read"), F.col("gold"))).where("cer IS NOT NULL")
+    rows = _ascii_turns(spark, sf_dir).where(F.length("gold") > 0).withColumn("cer", evaluate.cer(F.col("read"), F.col("gold")))
     return rows.select("page_id", F.round("cer", 6).alias("cer"), F.round(evaluate.accuracy(F.col("cer")), 6).alias("accuracy"))
 
 
