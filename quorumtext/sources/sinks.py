@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +26,9 @@ def progress_rows(progress: DataFrame) -> DataFrame:
     return progress.select("pdf_name", F.col("page").cast("int").alias("page"), F.col("ms").cast("bigint").alias("ms"), *[v.alias(k) for k, v in shown.items()], F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"))
 
 
-def write_csv_file(rows: DataFrame, path: str, bom: bool) -> int:
+def write_csv_file(rows: DataFrame, path: str, bom: bool, note: Callable[[int], None] | None = None) -> int:
     """One CSV file with CRLF line ends and minimal quotes, rows in their order. Rows stream through the driver partition by partition;
-    use parquet for bulk. Returns the number of rows."""
+    use parquet for bulk. Returns the number of rows, and tells note every hundred and at the end."""
     import csv
 
     n = 0
@@ -36,12 +38,16 @@ def write_csv_file(rows: DataFrame, path: str, bom: bool) -> int:
         for row in rows.toLocalIterator(prefetchPartitions=True):
             out.writerow(row)
             n += 1
+            if note and n % 100 == 0:
+                note(n)
+    if note:
+        note(n)
     return n
 
 
-def write_page_text(pages: DataFrame, path: str) -> int:
-    return write_csv_file(page_text_rows(pages.orderBy("pdf_name", "page")), path, bom=True)
+def write_page_text(pages: DataFrame, path: str, note: Callable[[int], None] | None = None) -> int:
+    return write_csv_file(page_text_rows(pages.orderBy("pdf_name", "page")), path, True, note)
 
 
 def write_progress(progress: DataFrame, path: str) -> int:
-    return write_csv_file(progress_rows(progress), path, bom=False)
+    return write_csv_file(progress_rows(progress), path, False)
