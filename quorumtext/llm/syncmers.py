@@ -3,9 +3,9 @@
 Of the runs of K characters of a text (k-mers) those are anchors whose least hash of an inner run of S characters (s-mer) lies at the first
 or last place. Whether a k-mer is chosen depends on its own characters alone, so two texts that share a passage choose the same anchors in it,
 wherever it stands and in any script, and two anchors follow one another by K - S characters at most. The fingerprint is all anchors in order: six
-hex digits each, of which five are of the anchor's hash and one is its distance from the anchor before (less one; for the first, its place).
+hex digits each, 19 bits of the anchor's hash and 5 of its distance from the anchor before (less one; for the first, its place).
 
-Texts are matched by position: a match is a pair of neighbouring anchors that both texts hold at the same distance, 44 bits in all. The likeness
+Texts are matched by position: a match is a pair of neighbouring anchors that both texts hold at the same distance, 43 bits in all. The likeness
 of two fingerprints is 2 |A and B| / (|A| + |B|) over their distinct pairs. A text with one anchor has that alone.
 
 An edited text need not be read anew: it is a prefix of the text and a prefix of the next, and as anchors know no context, its anchors are
@@ -16,7 +16,7 @@ with the next by id without a global window: ids are cut into ranges at quantile
 into the range before (that of the whole table into the last), and a window runs within each range. Texts are shuffled once.
 
 Defined cases: null text is empty; an empty text has an empty fingerprint, and two empty ones are alike (1.0), an empty and another
-not (0.0); a text of fewer than K characters is one anchor; with one document the next is itself; rows that share an id follow in order of
+not (0.0); a text without an anchor (of fewer than K characters, or up to 2 K - S - 2) has one of its whole; with one document the next is itself; rows that share an id follow in order of
 the text's hash; null ids come first; very long texts go whole; other columns are ignored.
 """
 
@@ -25,9 +25,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-K, S, BLOCK = 24, 8, 8192
-#: Bits of an anchor's hash that its fingerprint keeps.
-BITS = 20
+K, S, BLOCK = 32, 8, 8192
+#: Bits of an anchor's hash and of a distance that its fingerprint keeps.
+BITS, FAR = 19, 5
 #: Rows of a range of ids, sampled ids of a range, the fan-out of its search, and the most ranges.
 RANGE_ROWS, SAMPLED, FAN, MOST_RANGES = 500, 64, 64, 65_536
 
@@ -56,47 +56,52 @@ def _doubled(values: Column, to: int, join, body, width: int = 1) -> Column:
 def _in_block(text: Column, offset: Column) -> Column:
     """The anchors of a text of at least K characters, as places (from offset on) and hashes in one number each."""
     width = K - S
+    half = 1 << (width - 1).bit_length() - 1  # two runs of so many s-mers cover what lies between the edges
+    after = lambda v, n: F.slice(v, n + 1, F.size(v))
     least = lambda a, b: F.least(a, b)
 
-    def chosen(smers: Column, low: Column) -> Column:
-        """low: the least of width / 2 s-mers from each on."""
-        after = lambda v, n: F.slice(v, n + 1, F.size(v))
-        edges = F.slice(F.zip_with(smers, after(smers, width), least), 1, F.size(smers) - K + 1)
-        inner = F.zip_with(after(low, 1), after(low, width // 2), least)
-        whole = lambda x, i: F.xxhash64(x, *[F.get(smers, i + d) for d in range(S, width + 1, S)])  # noqa: E731  disjoint s-mers make up the k-mer
-        first = lambda i: F.get(smers, i)
-        return _let(inner, lambda m: F.array_compact(F.transform(edges, lambda e, i: F.when(e <= F.get(m, i), _packed(i + offset, whole(first(i), i))))))
+    def chosen(h: Column, low: Column) -> Column:
+        """low: the least of `half` s-mers from each on."""
+        edges = F.slice(F.zip_with(h, after(h, width), least), 1, F.size(h) - K + 1)
+        inner = F.zip_with(after(low, 1), after(low, width - half), least)
+        whole = lambda i: F.xxhash64(*[F.get(h, i + d) for d in range(0, width + 1, S)])  # noqa: E731  disjoint s-mers make up the k-mer
+        return _let(inner, lambda m: F.array_compact(F.transform(edges, lambda e, i: F.when(e <= F.get(m, i), _packed(i + offset, whole(i))))))
 
     # an s-mer's hash: the characters' hashes, shifted by place, in one
     letters = F.transform(F.split(text, ""), lambda c: F.xxhash64(c))
     smers = lambda body: _let(letters, lambda v: _doubled(v, S, lambda a, b, n: F.shiftleft(a, n).bitwiseXOR(b), body))
-    return smers(lambda h: _doubled(h, width // 2, lambda a, b, _: least(a, b), lambda low: chosen(h, low)))
+    return smers(lambda h: _doubled(h, half, lambda a, b, _: least(a, b), lambda low: chosen(h, low)))
 
 
 def anchors(text: Column, n: Column) -> Column:
     """The anchors of a text of n characters, in order."""
     blocks = F.sequence(F.lit(0), F.greatest(F.lit(0), n - K).cast("int"), F.lit(BLOCK))
     found = F.flatten(F.transform(blocks, lambda at: _in_block(F.substring(text, at + 1, F.lit(BLOCK + K - 1)), at)))
-    none = F.array().cast("array<bigint>")
-    return F.when(n >= K, found).when(n > 0, F.array(_packed(F.lit(0), F.xxhash64(text)))).otherwise(none)
+    return F.when(n >= K, found).otherwise(F.array().cast("array<bigint>"))
+
+
+def or_whole(anchors: Column, text: Column) -> Column:
+    """The anchors, or where there are none, one of the whole text."""
+    whole = F.when(F.length(text) > 0, F.array(_packed(F.lit(0), F.xxhash64(text)))).otherwise(F.array().cast("array<bigint>"))
+    return _let(anchors, lambda a: F.when(F.size(a) > 0, a).otherwise(whole))
 
 
 def codes(anchors: Column) -> Column:
-    """Of each anchor BITS bits of its hash and four of its distance from the one before."""
+    """Of each anchor BITS bits of its hash and FAR of its distance from the one before."""
     before = F.concat(F.array(F.lit(-1 << BITS)), anchors)
-    code = lambda x, y: F.shiftleft(x.bitwiseAND(F.lit((1 << BITS) - 1)), 4).bitwiseOR(place(x) - place(y) - 1)
+    code = lambda x, y: F.shiftleft(x.bitwiseAND(F.lit((1 << BITS) - 1)), FAR).bitwiseOR(place(x) - place(y) - 1)
     return F.zip_with(anchors, F.slice(before, 1, F.size(anchors)), code)
 
 
 def fingerprint(codes: Column) -> Column:
     """Six hex digits for each code."""
-    return F.lower(F.array_join(F.transform(codes, lambda x: F.substring(F.hex(x + (1 << BITS + 4)), 2, 6)), ""))
+    return F.lower(F.array_join(F.transform(codes, lambda x: F.substring(F.hex(x + (1 << BITS + FAR)), 2, 6)), ""))
 
 
 def pairs(codes: Column) -> Column:
     """The distinct neighbouring anchors with their distances; of a single anchor, that alone."""
-    one = lambda x: F.shiftright(x, 4)
-    two = F.zip_with(F.slice(codes, 1, F.greatest(F.size(codes) - 1, F.lit(0))), F.slice(codes, 2, F.size(codes)), lambda a, b: F.shiftleft(one(a), BITS + 4).bitwiseOR(b))
+    one = lambda x: F.shiftright(x, FAR)
+    two = F.zip_with(F.slice(codes, 1, F.greatest(F.size(codes) - 1, F.lit(0))), F.slice(codes, 2, F.size(codes)), lambda a, b: F.shiftleft(one(a), BITS + FAR).bitwiseOR(b))
     return F.array_distinct(F.when(F.size(codes) > 1, two).otherwise(F.transform(codes, one)))
 
 
@@ -164,10 +169,10 @@ def edit_study(docs: DataFrame) -> DataFrame:
     of_head = F.filter("anchors", lambda x: place(x) < first)
     of_seam = F.when(F.length(seam) >= K, _in_block(seam, first)).otherwise(F.array().cast("array<bigint>"))
     of_tail = F.transform(F.filter("next_anchors", lambda x: place(x) <= F.col("added") - K), lambda x: x + F.shiftleft(F.col("kept").cast("long"), BITS))
-    edited = F.when(size >= K, F.concat(of_head, of_seam, of_tail)).otherwise(anchors(F.col("edited"), size))
+    edited = F.when(size >= K, F.concat(of_head, of_seam, of_tail)).otherwise(F.array().cast("array<bigint>"))
     done = paired.withColumn("edited_anchors", edited)
-    for name in ("", "next_", "edited_"):
-        done = done.withColumn(f"{name}codes", codes(F.col(f"{name}anchors")))
+    for name, of in (("", "text"), ("next_", "next_text"), ("edited_", "edited")):
+        done = done.withColumn(f"{name}codes", codes(or_whole(F.col(f"{name}anchors"), F.col(of))))
     for name in ("", "next_", "edited_"):
         done = done.withColumn(f"{name}pairs", pairs(F.col(f"{name}codes")))
     return done.select(
