@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorumtext.llm.common import map_frames, materialize
+from quorumtext.llm.common import Account, map_frames, materialize
 
 TRAINING_ROWS, FEATURES, ORDER = 20_000, 512, 4
 KEPT_WORDS = 150_000
@@ -125,11 +125,11 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def decode(word: str, model: CharModel) -> str:
-    """The likeliest word behind an obfuscated one; Viterbi over the last characters as states, ties to the smaller text."""
+def decode(word: str, model: CharModel, places: list[list[tuple[str, float]]] | None = None) -> str:
+    """The likeliest word behind an obfuscated one (places: its lattice); Viterbi over the last characters as states, ties to the smaller text."""
     keep = model.order - 1
     states, settled = {"^" * keep: (0.0, "")}, ""
-    for place, options in enumerate(lattice(word), 1):
+    for place, options in enumerate(lattice(word) if places is None else places, 1):
         after: dict[str, tuple[float, str]] = {}
         for state, (score, text) in states.items():
             for letters, chance in options:
@@ -148,15 +148,46 @@ def decode(word: str, model: CharModel) -> str:
     return settled + min((-(score + model.log(state + "$")), text) for state, (score, text) in states.items())[1]
 
 
+class Goals:
+    """Which words can a lattice still become, of those that a classifier knows? The others need no decoding."""
+
+    def __init__(self, marks):
+        self.words = {m for m in marks if m[-1:] != "~"}
+        self.starts = {m[:-1] for m in marks if m[-1:] == "~"}
+        self.ways = {g[:n] for g in self.words | self.starts for n in range(len(g) + 1)}
+
+    def reached(self, places: list[list[tuple[str, float]]]) -> bool:
+        """Whether any path through a lattice spells a word, or begins as one."""
+        at = {""}
+        for options in places:
+            after = set()
+            for state in at:
+                for letters, _ in options:
+                    now = state
+                    for c in letters:
+                        now += c
+                        if now in self.starts:
+                            return True
+                    if now in self.ways:
+                        after.add(now)
+            if not after:
+                return False
+            at = after
+        return not at.isdisjoint(self.words)
+
+
 class Restorer(dict):
-    """word as written -> restored word, kept for a bounded number of words."""
+    """word as written -> its marks: the restored word and its beginnings, which inflected words share. Of those wanted, where they are given, as
+    a classifier needs no others. Kept for a bounded number of words."""
 
-    def __init__(self, model: CharModel):
+    def __init__(self, model: CharModel, wanted=None):
         super().__init__()
-        self.model = model
+        self.model, self.wanted, self.goals = model, wanted, None if wanted is None else Goals(wanted)
 
-    def __missing__(self, word: str) -> str:
-        out = self.restored(word)
+    def __missing__(self, word: str) -> tuple[str, ...]:
+        w = self.restored(word)
+        out = (w, *(w[:n] + "~" for n in (4, 5) if len(w) > 4)) if w else ()
+        out = out if self.wanted is None else tuple(m for m in out if m in self.wanted)
         if len(word) <= 64:
             if len(self) >= KEPT_WORDS:
                 self.clear()
@@ -175,25 +206,21 @@ class Restorer(dict):
             return bare
         if not _repeated.search(bare) and not _sign.search(bare) and not any(c in LOOKALIKES for c in bare):
             return bare
-        return decode(bare, self.model)
+        places = lattice(bare)
+        return "" if self.goals and not self.goals.reached(places) else decode(bare, self.model, places)
 
-    def words(self, text: str | None) -> set[str]:
-        """The distinct restored words of a text."""
+    def marks(self, text: str | None) -> set[str]:
+        """The marks of a text's distinct words, and of those that it spells out."""
         text = (text or "").lower()
-        found = set(map(self.__getitem__, set(text.split())))
+        found = {m for ms in map(self.__getitem__, set(text.split())) for m in ms}
         for run in _spaced.finditer(text):
-            found.add(self["".join(run[0].split())])
+            found.update(self["".join(run[0].split())])
             gaps = set(map(len, re.findall(r"\s+", run[0])))
             if len(gaps) > 1:  # wider gaps between words that are spelled out
-                found.update(self["".join(w.split())] for w in re.split(r"\s{%d,}" % (min(gaps) + 1), run[0]))
-        found.discard("")
+                for w in re.split(r"\s{%d,}" % (min(gaps) + 1), run[0]):
+                    found.update(self["".join(w.split())])
         return found
 
-    def marks(self, text: str | None) -> set[str]:
-        """The words, and their beginnings, which inflected words share."""
-        found = self.words(text)
-        return found | {w[:n] + "~" for w in found if len(w) > 4 for n in (4, 5)}
-
 
 def _fit(rows: list[tuple[int, ...]], labels: list[int], width: int, strength: float = 0.02, steps: int = 100) -> tuple[np.ndarray, float]:
     """L2-regularized logistic regression on sets of features, by Newton steps until they settle. Rows with equal features, most of
@@ -238,11 +265,11 @@ class Classifier:
         self.model, self.weights, self.bias, self.alone = model, weights, bias, alone or {}
 
     def scorer(self):
-        restorer, known = Restorer(self.model), self.weights.keys()
+        restorer = Restorer(self.model, self.weights.keys() | self.alone.keys())
 
         def score(text: str | None) -> float:
-            found = sorted(known & restorer.marks(text))
-            together = 1 / (1 + math.exp(-max(-500.0, min(500.0, self.bias + sum(self.weights[w] for w in found)))))
+            found = sorted(restorer.marks(text))
+            together = 1 / (1 + math.exp(-max(-500.0, min(500.0, self.bias + sum(self.weights.get(w, 0.0) for w in found)))))
             return max([together, *(self.alone.get(w, 0.0) for w in found)])
 
         return score
@@ -284,7 +311,11 @@ def char_model(texts: DataFrame) -> CharModel:
 
 def train(labelled: DataFrame, training_rows: int = TRAINING_ROWS, features: int = FEATURES, corpus: DataFrame | None = None) -> Classifier:
     """labelled: id, text, toxic (0 or 1). corpus: the texts of the language model, labelled or not; those of labelled if not given."""
-    corpus = labelled if corpus is None else corpus
+    with Account():
+        return _trained(labelled, training_rows, features, labelled if corpus is None else corpus)
+
+
+def _trained(labelled: DataFrame, training_rows: int, features: int, corpus: DataFrame) -> Classifier:
     labelled = labelled.where("toxic IS NOT NULL")
     share = min(1.0, training_rows / max(1, labelled.select("toxic").count()))
     sample = materialize(labelled.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).select("id", "text", "toxic"), "labelled")
@@ -316,9 +347,9 @@ def train(labelled: DataFrame, training_rows: int = TRAINING_ROWS, features: int
     index = {w: i for i, w in enumerate(names)}
 
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words_of = Restorer(shared.value).marks
+        words_of = Restorer(shared.value, index.keys()).marks
         for batch in batches:
-            yield pd.DataFrame({"id": batch.id, "toxic": (batch.toxic == 1).astype("int64"), "found": [sorted(index[w] for w in words_of(t) & index.keys()) for t in batch.text]})
+            yield pd.DataFrame({"id": batch.id, "toxic": (batch.toxic == 1).astype("int64"), "found": [sorted(index[w] for w in words_of(t)) for t in batch.text]})
 
     # the bounded sample, a few numbers a row
     rows = sorted(sample.mapInPandas(featured, "id long, toxic long, found array<int>").collect(), key=lambda r: (r.id is None, r.id, r.toxic, r.found))

@@ -497,6 +497,57 @@ def test_main_text():
     assert extract(None) == extract("") == "" and isinstance(extract("<p>a<div" * 50), str)
 
 
+def plain_blocks(page):
+    """Texts of the leaf blocks by the standard library's parser, which must agree where pages are well-formed."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        out, text, raw = [], "", 0
+
+        def flush(self):
+            self.out, self.text = self.out + [" ".join(self.text.split())] * bool(self.text.split()), ""
+
+        def handle_starttag(self, tag, _):
+            self.raw += tag in htmltext.RAW - {"head"}
+            if tag in htmltext.BLOCKS:
+                self.flush()
+            self.text += " " * (tag == "br")
+
+        def handle_endtag(self, tag):
+            self.raw -= tag in htmltext.RAW - {"head"}
+            if tag in htmltext.BLOCKS:
+                self.flush()
+
+        def handle_data(self, data):
+            self.text += data * (not self.raw)
+
+    reader = Reader()
+    reader.feed(page)
+    reader.close()
+    reader.flush()
+    return reader.out
+
+
+def test_blocks_against_plain_reader():
+    more = ["<!-- a <p>comment</p> --><p class='x > y' id=\"a'b\">One &lt;b&gt; <b>two</b>&nbsp;three&#65;&#x42;</p><script>if (a < b) '</p>'</script><style>p{}</style><div>four<br>five<p>six<table><tr><td>seven<td>eight</table>nine</div>", "no tags & none &amp; more", "<p>a</p>b<i>c</i> d<p>"]
+    for page in [*(page for page, _ in htmltext.labelled_pages(150, seed=5)), *more]:
+        assert [b.text for b in htmltext.blocks(page)] == plain_blocks(page)
+
+
+@pytest.mark.parametrize("page", ["<a" * 100_000, '<a b="' * 160_000, "<a b='>" * 140_000, "</b>" * 250_000, "<i>" * 100_000 + "</b>" * 100_000, "<b><td>" + "<i>" * 100_000 + "</b>" * 100_000, "<!--" * 250_000, "<" * 1_000_000, "<script>" + "</script" * 120_000,
+                                  "&#" + "9" * 1_000_000 + ";", "&#" + "0" * 1_000_000 + "65;", "".join(f"<div class={chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}>t" for i in range(17_000))])
+def test_malformed_pages_take_linear_time(page):
+    import time
+
+    extract, began = htmltext.trained(), time.process_time()
+    extract(page)
+    assert time.process_time() - began < 4  # about 1 on a free machine
+
+
+def test_long_character_references():
+    assert htmltext.unescape("&#0000000065;&#x0000000041&#99999999;&#xFFFFFFFFF;&amp;&#65") == "AA\ufffd\ufffd&A"
+
+
 def test_labels_on_held_out_pages():
     extract, right, n = htmltext.trained(), 0, 0
     for page, _ in htmltext.labelled_pages(80, seed=123):
@@ -524,7 +575,7 @@ def test_viterbi_is_the_best_path():
 # 9. Syncmers
 
 
-def plain_anchors(t, k=24, s=8):
+def plain_anchors(t, k=32, s=8):
     """(place, hash) of the closed syncmers, k-mer by k-mer."""
     import struct
 
@@ -532,8 +583,6 @@ def plain_anchors(t, k=24, s=8):
 
     signed = lambda v: (v & (1 << 64) - 1) - (1 << 64 if v >> 63 & 1 else 0)
     chain = lambda seed, v: xxhash.xxh64_intdigest(struct.pack("<q", v), seed=seed)
-    if 0 < len(t) < k:
-        return [(0, xxhash.xxh64_intdigest(t.encode(), seed=42) & 0xFFFFF)]
 
     def smer(m):
         out = 0
@@ -548,8 +597,8 @@ def plain_anchors(t, k=24, s=8):
             a = 42
             for i in range(0, k, s):
                 a = chain(a, h[i])
-            found.append((at, a & 0xFFFFF))
-    return found
+            found.append((at, a & 0x7FFFF))
+    return found or [(0, xxhash.xxh64_intdigest(t.encode(), seed=42) & 0x7FFFF)] * bool(t)
 
 
 def plain_fingerprint(t):
@@ -557,7 +606,7 @@ def plain_fingerprint(t):
     found = plain_anchors(t)
     places = [-1] + [p for p, _ in found]
     pairs = {(x, y, q - p) for (p, x), (q, y) in zip(found, found[1:])} if len(found) > 1 else {x for _, x in found}
-    return "".join(f"{h:05x}{p - q - 1:x}" for (p, h), q in zip(found, places)), pairs
+    return "".join(f"{h << 5 | p - q - 1:06x}" for (p, h), q in zip(found, places)), pairs
 
 
 @pytest.mark.parametrize("block", [32, 8192])
@@ -566,7 +615,7 @@ def test_edit_study_against_plain(spark, monkeypatch, block):
 
     monkeypatch.setattr(syncmers, "BLOCK", block)
     r = random.Random(7)
-    texts = ["", "a b", "x" * 150, "ÄÖ é 漢字 a b c", "a😀" * 40, "y" * 24, "z" * 47, "w" * 48] + [words(r, r.randint(0, 200)) for _ in range(40)] + ["".join(r.choice("漢字仮名交") for _ in range(r.randint(0, 300))) for _ in range(20)] + ["same words in a text"] * 2
+    texts = ["", "a b", "x" * 150, "ÄÖ é 漢字 a b c", "a😀" * 40, "y" * 32, "z" * 63, "w" * 64] + [words(r, r.randint(0, 200)) for _ in range(40)] + ["".join(r.choice("漢字仮名交") for _ in range(r.randint(0, 300))) for _ in range(20)] + ["same words in a text"] * 2 + ["".join(r.choice("abc ") for _ in range(n)) for n in range(25, 75)]
     ids = r.sample(range(10_000), len(texts))
     d = docs(spark, texts, ids=ids)
     order = sorted(range(len(ids)), key=lambda k: ids[k])
@@ -586,7 +635,7 @@ def test_an_inserted_character_changes_anchors_near_it_alone(spark):
     text = "".join(r.choice("漢字仮名交文章長短") for _ in range(2000))
     rows = spark.createDataFrame([(0, text), (1, text[:5] + "新" + text[5:])], "id long, text string")
     a, b = (x.p for x in rows.select("id", syncmers.pairs(syncmers.codes(syncmers.anchors(F.col("text"), F.length("text")))).alias("p")).orderBy("id").collect())
-    assert len(set(a) & set(b)) > 0.95 * len(a) and 150 < len(a) < 350
+    assert len(set(a) & set(b)) > 0.94 * len(a) and 110 < len(a) < 250
 
 
 def test_ranges_of_many_ids_plan_in_seconds(spark):
@@ -628,17 +677,25 @@ def char_model():
 
 @pytest.mark.parametrize("written, word", [("1d10t", "idiot"), ("l0ser", "loser"), ("stuuuupid", "stupid"), ("tr@sh", "trash"), ("p4th3t1c", "pathetic"), ("idiot!!", "idiot"), ("i-d-i-o-t", "idiot"), ("m.o.r.o.n", "moron"), ("the***", "the"), ("2023", "2023"), ("wörter", "wörter"), ("other", "other")])
 def test_restores(char_model, written, word):
-    assert toxicity.Restorer(char_model)[written] == word
+    assert toxicity.Restorer(char_model)[written][0] == word
 
 
 @pytest.mark.parametrize("written, word", [("1053r", "loser"), ("1d107", "idiot"), ("id" + "i" * 45 + "ot", "idiot"), ("m.oron", "moron"), ("id-iot", "idiot"), ("iidiot", "idiot"), ("lloser", "loser"), ("$100", "100"), ("12-34", "12-34")])
 def test_restores_what_is_mostly_signs(char_model, written, word):
-    assert toxicity.Restorer(char_model)[written].lstrip("$") == word
+    assert toxicity.Restorer(char_model)[written][0].lstrip("$") == word
 
 
 @pytest.mark.parametrize("text", ["you i  d  i  o  t", "you i\td\ti\to\tt", "m o r o n  i d i o t"])
 def test_words_spelled_out_with_any_white_space(char_model, text):
-    assert "idiot" in toxicity.Restorer(char_model).words(text)
+    assert "idiot" in toxicity.Restorer(char_model).marks(text)
+
+
+def test_wanted_marks_are_those_of_all(char_model):
+    r, wanted = random.Random(4), {"idiot", "moro~", "lose~", "loser~", "trash", "of", "aa~", "e"}
+    known = [w for w in "1d10t l0s3r5 m0r0nic tr@sh tra-sh of 0f aaa 3 e3 losers moron mo-ron-ic".split()]
+    texts = known + ["".join(r.choice("idotlsermna1305$@-. ") for _ in range(r.randint(1, 30))) for _ in range(3000)]
+    some, every = toxicity.Restorer(char_model, wanted), toxicity.Restorer(char_model)
+    assert [some.marks(t) for t in texts] == [every.marks(t) & wanted for t in texts] and sum(map(len, map(some.marks, texts))) > 20
 
 
 def test_long_words_decode_in_linear_time(char_model):
@@ -666,6 +723,36 @@ def test_viterbi_over_lattices_is_the_best_path(char_model):
         assert value(best) == pytest.approx(max(value(p) for p in itertools.product(*options) if "".join(x for x, _ in p) == found))
 
 
+def test_score_against_plain_search(char_model):
+    import itertools
+    import math
+
+    keep = char_model.order - 1
+
+    def plain_word(word):
+        """The best of all paths through the lattice, at equal value the smaller text."""
+        def value(path):
+            at, s = "^" * keep, 0.0
+            for letters, chance in path:
+                s += chance
+                for c in letters:
+                    s += char_model.log(at + c)
+                    at = (at + c)[-keep:]
+            return s + char_model.log(at + "$")
+
+        paths = list(itertools.product(*toxicity.lattice(word)))
+        best = max(map(value, paths))
+        return min("".join(x for x, _ in p) for p in paths if value(p) == pytest.approx(best, abs=1e-12))
+
+    weights, alone = {"idiot": 2.0, "idio~": 0.5, "lose~": 1.0, "trash": -0.3}, {"moron": 0.9}
+    score = toxicity.Classifier(char_model, weights, -2.0, alone).scorer()
+    for text in ("you 1d10t", "a l0ser and tr@sh", "plain words", "m0ron here", "idiot idiot losers", ""):
+        marks = {plain_word(w) if not w.isalpha() else w for w in text.split()}
+        marks |= {w[:n] + "~" for w in marks if len(w) > 4 for n in (4, 5)}
+        together = 1 / (1 + math.exp(2.0 - sum(weights.get(m, 0.0) for m in marks)))
+        assert score(text) == pytest.approx(max([together, *(alone[m] for m in marks if m in alone)]))
+
+
 def test_toxicity_on_disguised_words(spark):
     r = random.Random(5)
     bad = ["idiot", "moron", "loser", "stupid"]
@@ -692,7 +779,7 @@ def test_language_model_counts_words_outside_the_training_rows(spark):
     rows = [(i, "plain words here" if i % 2 else "you moron", i % 2 ^ 1) for i in range(40)]
     corpus = spark.createDataFrame([(t,) for _, t, _ in rows] + [("the zugzwang",)], "text string")
     model = toxicity.train(spark.createDataFrame(rows, "id long, text string, toxic int"), corpus=corpus).model
-    assert toxicity.Restorer(model)["zugzw4ng"] == "zugzwang"
+    assert toxicity.Restorer(model)["zugzw4ng"][0] == "zugzwang"
     plain = toxicity.CharModel({"plain": 20**0.5, "words": 20**0.5, "here": 20**0.5, "you": 20**0.5, "moron": 20**0.5, "the": 1.0, "zugzwang": 1.0})
     assert model.alphabet == plain.alphabet and model.log("zwan") == pytest.approx(plain.log("zwan"), abs=1e-3)
 
