@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import groupby
 from os.path import commonprefix
 
@@ -51,6 +51,8 @@ _stretched = re.compile(r"(.)\1\1")
 _sign = re.compile(r"[^\w]|_")
 _separated = re.compile(r"[^\W_](?:([._\-~*|/·])[^\W_])(?:\1[^\W_]){2,}")
 _spaced = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
+#: Signs of ASCII that stand for no letter.
+_SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "_" and c not in LOOKALIKES)
 _invisible = re.compile("[​-‏⁠﻿­̀-ͯ]")
 
 
@@ -107,9 +109,8 @@ class CharModel:
         return self.known[gram]
 
 
-def lattice(word: str) -> list[list[tuple[str, float]]]:
+def lattice(word: str) -> Iterator[list[tuple[str, float]]]:
     """For each run of equal characters, what it may stand for, with log-chances."""
-    out = []
     for c, run in groupby(word):
         n = len(list(run))
         if c in LOOKALIKES:
@@ -121,15 +122,14 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
             options = [(c, 0.0)] if n == 1 else [(c * 2, 0.0), (c, DOUBLED)] if n == 2 else [(c, STRETCHED), (c * 2, STRETCHED)]
         else:
             options = [("", STRAY * 0.3), (c, STRAY * 2)]
-        out.append(options)
-    return out
+        yield options
 
 
-def decode(word: str, model: CharModel, places: list[list[tuple[str, float]]] | None = None) -> str:
-    """The likeliest word behind an obfuscated one (places: its lattice); Viterbi over the last characters as states, ties to the smaller text."""
+def decode(word: str, model: CharModel) -> str:
+    """The likeliest word behind an obfuscated one; Viterbi over the last characters as states, ties to the smaller text."""
     keep = model.order - 1
     states, settled = {"^" * keep: (0.0, "")}, ""
-    for place, options in enumerate(lattice(word) if places is None else places, 1):
+    for place, options in enumerate(lattice(word), 1):
         after: dict[str, tuple[float, str]] = {}
         for state, (score, text) in states.items():
             for letters, chance in options:
@@ -156,8 +156,8 @@ class Goals:
         self.starts = {m[:-1] for m in marks if m[-1:] == "~"}
         self.ways = {g[:n] for g in self.words | self.starts for n in range(len(g) + 1)}
 
-    def reached(self, places: list[list[tuple[str, float]]]) -> bool:
-        """Whether any path through a lattice spells a word, or begins as one."""
+    def reached(self, places: Iterable[list[tuple[str, float]]]) -> bool:
+        """Whether any path through a lattice spells a word, or begins as one. Most lattices end at their first places."""
         at = {""}
         for options in places:
             after = set()
@@ -186,8 +186,9 @@ class Restorer(dict):
 
     def __missing__(self, word: str) -> tuple[str, ...]:
         w = self.restored(word)
-        out = (w, *(w[:n] + "~" for n in (4, 5) if len(w) > 4)) if w else ()
-        out = out if self.wanted is None else tuple(m for m in out if m in self.wanted)
+        out = () if not w else (w,) if len(w) < 5 else (w, w[:4] + "~", w[:5] + "~")
+        if out and self.wanted is not None:
+            out = tuple([m for m in out if m in self.wanted])
         if len(word) <= 64:
             if len(self) >= KEPT_WORDS:
                 self.clear()
@@ -195,8 +196,9 @@ class Restorer(dict):
         return out
 
     def restored(self, word: str) -> str:
-        word = _invisible.sub("", _edges.sub("", word))
-        bare = _tail.sub("", word)
+        bare = word.strip(_SIGNS)
+        if not (bare.isascii() and bare.isalpha()):  # most words are, and need none of this
+            bare = _tail.sub("", _invisible.sub("", _edges.sub("", word)))
         if _plain.fullmatch(bare) and bare.isascii() and not _repeated.search(bare):
             return bare
         if _separated.fullmatch(bare):
@@ -206,13 +208,12 @@ class Restorer(dict):
             return bare
         if not _repeated.search(bare) and not _sign.search(bare) and not any(c in LOOKALIKES for c in bare):
             return bare
-        places = lattice(bare)
-        return "" if self.goals and not self.goals.reached(places) else decode(bare, self.model, places)
+        return "" if self.goals and not self.goals.reached(lattice(bare)) else decode(bare, self.model)
 
     def marks(self, text: str | None) -> set[str]:
         """The marks of a text's distinct words, and of those that it spells out."""
         text = (text or "").lower()
-        found = {m for ms in map(self.__getitem__, set(text.split())) for m in ms}
+        found = set().union(*filter(None, map(self.__getitem__, set(text.split()))))
         for run in _spaced.finditer(text):
             found.update(self["".join(run[0].split())])
             gaps = set(map(len, re.findall(r"\s+", run[0])))

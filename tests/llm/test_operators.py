@@ -707,7 +707,7 @@ def test_viterbi_over_lattices_is_the_best_path(char_model):
 
     keep = char_model.order - 1
     for word in ("1d10t", "l0ss3r", "5tuupid"):
-        options = toxicity.lattice(word)
+        options = list(toxicity.lattice(word))
 
         def value(path):
             at, s = "^" * keep, 0.0
