@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from quorumtext.functions import charlm, geometry, text
 from quorumtext.operators import candidates as readings
 from quorumtext.operators import detect, evaluate, fusion, guard, layout, manifest, pairing, pairs
-from quorumtext.plans.options import dispatch_column, resolve_columns
-from quorumtext.sources import derived, sinks
+from quorumtext.plans import extract
+from quorumtext.plans.options import PipelineOptions, dispatch_column, resolve_columns
+from quorumtext.schema import BOX
+from quorumtext.sources import derived, engines, sinks
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -250,6 +252,72 @@ def orientation_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "rotation_angle", "winner", "text", F.map_values("orientation_scores")[0].alias("first_score"))
 
 
+#: Readings whose comparison keys are equal: with marks and without, in capitals, and with every blank a line end, so that similarities are 1.
+EQUAL = TURNS + """, readings AS (SELECT page_id, 'paddle' AS engine, 0 AS engine_ord, strip_accents(text) AS text, 0.80::DOUBLE AS confidence, 3 AS line_count FROM turns
+    UNION ALL SELECT page_id, 'doctr', 1, text, 0.78, 24 FROM turns UNION ALL SELECT page_id, 'kraken', 2, replace(text, ' ', chr(10)), -0.5, NULL FROM turns),
+  sized AS (SELECT *, len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '')) AS n_lines FROM readings WHERE regexp_replace(text, '\\s+', '', 'g') <> '')"""
+COMPLETENESS = "least(length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) / 300.0::DOUBLE, 1.0)"
+
+
+def _equal_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = derived.turns(spark, sf_dir)
+    rows = [("paddle", text.strip_diacritics(F.col("text")), 0.80, 3), ("doctr", F.col("text"), 0.78, 24), ("kraken", F.replace("text", F.lit(" "), F.lit("\n")), -0.5, None)]
+    made = F.array(*[F.struct(F.lit(e).alias("engine"), F.lit(k).alias("engine_ord"), x.alias("text"), F.lit(c).alias("confidence"), F.lit(n).cast("int").alias("line_count")) for k, (e, x, c, n) in enumerate(rows)])
+    return t.select("page_id", F.lit(0).alias("angle"), F.lit(0).alias("angle_ord"), F.inline(made), F.lit("original").alias("variant"))
+
+
+@query(f"""WITH {EQUAL} SELECT page_id, engine, round(CASE engine WHEN 'doctr' THEN 1.1 ELSE 1.0 END * 0.35 + 1.0 + {RICHNESS.format('text')} * 0.4 + {COMPLETENESS} * 0.1
+    + greatest(confidence, 0.0) * 0.15 + least(coalesce(line_count, 0) / 12.0::DOUBLE, 1.0) * 0.12, 6) AS score FROM sized""")
+def whole_scores_equal_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """whole_scores where all readings agree but for marks and white space."""
+    scored = fusion.whole_scores(fusion.gathered(_equal_keys(spark, sf_dir)), {"doctr": 1.1})
+    return scored.select("page_id", F.inline(F.arrays_zip(F.transform("c", lambda x: x["engine"]).alias("engine"), F.transform("whole", lambda s: F.round(s, 6)).alias("score"))))
+
+
+@query(f"""WITH {EQUAL}, s AS (SELECT *, 0.35 + 1.0 + {RICHNESS.format('text')} * 0.4 + {COMPLETENESS} * 0.1 + greatest(confidence, 0.0) * 0.15 + least(coalesce(line_count, 0) / 12.0::DOUBLE, 1.0) * 0.12 AS score FROM sized),
+  g AS (SELECT page_id, min(n_lines) = max(n_lines) AS same, arg_max(engine, (round(score, 9), -engine_ord)) AS best, arg_max(confidence, (round(score, 9), -engine_ord)) AS sure, avg(confidence) AS mean FROM s GROUP BY page_id)
+SELECT page_id, CASE WHEN same THEN 'line_consensus' ELSE 'whole_text_consensus' END AS method, CASE WHEN NOT same THEN best END AS winner, round(CASE WHEN same THEN mean ELSE sure END, 6) AS confidence FROM g""")
+def fuse_equal_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which way pages are fused, and by whom, where all readings agree but for marks and white space."""
+    return fusion.fuse(_equal_keys(spark, sf_dir)).select("page_id", "method", "winner", F.round("confidence", 6).alias("confidence"))
+
+
+@query(f"""WITH {TURNS} SELECT 'c.pdf' AS pdf_name, CAST(page_id AS INTEGER) AS page, CASE WHEN page_id % 3 = 0 THEN text ELSE
+    array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) END AS page_text,
+    page_id % 3 = 0 AS used_text_layer, CASE WHEN page_id % 3 = 0 THEN 'text_layer' ELSE 'ocr_ensemble' END AS method FROM turns""")
+def page_text_engines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole page plan with four recorded engines that read alike, surely and less so."""
+    t = derived.turns(spark, sf_dir)
+    pages = t.select("page_id", F.lit("c.pdf").alias("pdf_name"), F.col("page_id").cast("int").alias("page"), F.lit(520.0).alias("page_width"), F.col("text").alias("layer_text"), (F.col("page_id") % 3 == 0).alias("layer_ok"))
+    fixed = {"angle": F.lit(0), "angle_ord": F.lit(0), "variant": F.lit("original"), "variant_ord": F.lit(0), "bbox": F.lit(None).cast(BOX)}
+    lines = t.select("page_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "text")).withColumns(fixed)
+    sources = {n: engines.recorded(lines.withColumn("raw_confidence", F.lit(0.9 - k / 10))) for k, n in enumerate(engines.DEFAULT_ENGINES)}
+    with engines.registering(**sources):
+        found = extract.page_text(pages, PipelineOptions())
+    return found.select("pdf_name", "page", "page_text", "used_text_layer", "method")
+
+
+@query(f"""WITH {TURNS}, l AS (SELECT page_id, generate_subscripts(x, 1) - 1 AS line_no, unnest(x) AS raw FROM (SELECT page_id, string_split(text, chr(10)) AS x FROM turns)),
+  k AS (SELECT page_id, line_no, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS text FROM l)
+SELECT page_id, CAST(line_no AS INTEGER) AS line_no, 'paddle' AS engine, text, CASE WHEN line_no % 3 > 0 THEN line_no / 8.0::DOUBLE END AS raw_confidence, line_no::DOUBLE AS x0, line_no * 2.0::DOUBLE AS y0, line_no + 10.0::DOUBLE AS x1, line_no * 2.0 + 5.0::DOUBLE AS y1 FROM k WHERE text <> ''
+UNION ALL SELECT page_id, CAST(line_no AS INTEGER), 'mmocr', text, CASE WHEN line_no < 2 THEN line_no / 8.0::DOUBLE END, NULL, NULL, NULL, NULL FROM k WHERE text <> ''
+UNION ALL SELECT page_id, CAST(line_no AS INTEGER), 'kraken', text, 0.5::DOUBLE, 1.0, 2.0, 3.0, 4.0 FROM k WHERE text <> ''""")
+def engine_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three engines' own result shapes to lines."""
+    at = lambda f: F.transform("x", lambda line, k: f(line, k))
+    t = derived.turns(spark, sf_dir).withColumn("x", F.split("text", "\n", -1))
+    point = lambda x, y: F.array(x.cast("double"), y.cast("double"))
+    corners = lambda k: F.array(point(k, k * 2), point(k + 10, k * 2 + 5))
+    sure = lambda k: F.when(k % 3 > 0, (k / 8.0).cast("string")).otherwise("n/a")
+    paddle = t.withColumn("result", at(lambda x, k: F.struct(corners(k).alias("polygon"), x.alias("text"), sure(k).alias("confidence"))))
+    mmocr = t.withColumns({"texts": F.col("x"), "scores": F.slice(at(lambda x, k: k / 8.0), 1, 2), "polygons": F.lit(None).cast("array<array<array<double>>>")})
+    box = F.struct(*[F.lit(float(i + 1)).alias(c) for i, c in enumerate(("x0", "y0", "x1", "y1"))])
+    kraken = t.withColumn("result", at(lambda x, k: F.struct(x.alias("prediction"), box.alias("bbox"), F.lit(0.5).alias("confidence"))))
+    parts = [engines.paddle_lines(paddle, ["page_id"]), engines.mmocr_lines(mmocr, ["page_id"]), engines.kraken_lines(kraken, ["page_id"])]
+    rows = [p.select("page_id", "line_no", F.lit(n).alias("engine"), "text", "raw_confidence", *[F.col(f"bbox.{c}").alias(c) for c in ("x0", "y0", "x1", "y1")]) for n, p in zip(("paddle", "mmocr", "kraken"), parts)]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 @query(f"""WITH {CANDIDATES}, one AS (SELECT page_id, angle, angle_ord, text, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS t, confidence FROM candidates WHERE engine = 'doctr'),
   s AS (SELECT *, length(t) / 120.0::DOUBLE + confidence * 0.8 + 0.0 + length(regexp_replace(t, '[^\\p{{L}}\\p{{N}}]', '', 'g'))::DOUBLE / greatest(length(t), 1) * 0.4 + {RICHNESS.format('text')} * 2.0
     + least(greatest(len(list_filter(string_split(t, chr(10)), lambda x: trim(x) <> '')), 1) / 12.0::DOUBLE, 1.0) * 0.35 AS score FROM one WHERE t <> '')
@@ -308,6 +376,23 @@ def detect_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect.flag_pages(_qualified(spark, sf_dir), ["doc_id"], LOCAL)
 
 
+#: Hyphenated groups of any words, for lines whose words are tied in threes.
+TIED = detect.DetectionProfile(diacritics=LOCAL.diacritics, markers=LOCAL.markers, min_syllabic_tokens=1, min_syllabic_ratio=0.1, threshold=0.5, negative_lexicon=("the",), group_length=12, require_diacritic_or_marker=False)
+
+
+@query(f"""WITH {LINES}, t AS (SELECT doc_id, line_no, regexp_replace(regexp_replace(line, '^\\s+|\\s+$', '', 'g'), '([^ ]+) ([^ ]+) ([^ ]+)', '\\1-\\2-\\3', 'g') AS line FROM full_lines),
+  tok AS (SELECT *, list_transform(list_filter(regexp_split_to_array(line, '\\s+'), lambda t: t <> ''), lambda t: regexp_replace(regexp_replace(t, '^[^\\p{{L}}\\p{{N}}]+', ''), '[^\\p{{L}}\\p{{N}}]+$', '')) AS bare FROM t),
+  f AS (SELECT doc_id, line_no, len(bare) AS n, len(list_filter(bare, lambda t: regexp_matches(t, '^\\p{{L}}{{1,12}}(-\\p{{L}}{{1,12}}){{2,}}$'))) AS n_syllabic, len(list_filter(bare, lambda t: lower(t) = 'the')) AS n_negative, (line_no * 7) % 60 AS p FROM tok),
+  s AS (SELECT *, n_syllabic::DOUBLE / greatest(n, 1) AS share, CASE WHEN p < 20 THEN 0.3 WHEN p < 40 THEN 0.1 ELSE 0.0 END::DOUBLE - least(0.15, n_negative::DOUBLE / greatest(n, 1)) AS more FROM f)
+SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, CAST(n_syllabic AS INTEGER) AS n_syllabic, round(share + more, 6) AS score, n_syllabic >= 1 AND share >= 0.1 AND round(share + more, 9) >= 0.5 AS qualifies FROM s""")
+def detect_tied_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hyphenated tokens and boosts of low perplexity, of a given number, on lines whose words are tied in threes."""
+    tied = F.regexp_replace(text.strip(F.col("line")), "([^ ]+) ([^ ]+) ([^ ]+)", "$1-$2-$3")
+    lines = derived.doc_lines(spark, sf_dir).withColumns({"line": tied, "perplexity": (F.col("line_no") * 7 % 60).cast("double")})
+    found = detect.qualify(detect.line_features(lines, TIED), TIED)
+    return found.select("doc_id", "line_no", "n_syllabic", F.round("score", 6).alias("score"), "qualifies")
+
+
 @query("""WITH g AS (SELECT n, substr(text, i, n) AS gram FROM (SELECT text, unnest(generate_series(1, length(text))) AS i FROM documents), (VALUES (1), (2), (3)) v(n) WHERE i + n - 1 <= length(text))
 SELECT CAST(n AS INTEGER) AS n, gram, count(*) AS cnt FROM g GROUP BY n, gram""")
 def char_lm_train(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -363,6 +448,14 @@ def wer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ascii_turns(spark, sf_dir).select("page_id", F.round(evaluate.wer(F.col("read"), F.col("gold")), 6).alias("wer"))
 
 
+@query("""WITH e AS (SELECT event_id, event_type AS gold, event_type || CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN ' x' WHEN 2 THEN 's' ELSE 's  y' END AS read FROM events),
+  w AS (SELECT *, list_filter(regexp_split_to_array(read, '\\s+'), lambda t: t <> '') AS words FROM e) SELECT event_id, (len(words) - list_contains(words, gold)::INT)::DOUBLE AS wer FROM w""")
+def wer_one_word(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """wer against gold texts of one word: as many words as are read, less one where it is among them."""
+    more = F.element_at(F.array(*map(F.lit, ("", " x", "s", "s  y"))), (F.col("event_id") % 4 + 1).cast("int"))
+    return derived.table(spark, sf_dir, "events").select("event_id", evaluate.wer(F.concat("event_type", more), F.col("event_type")).alias("wer"))
+
+
 WIDE = """wide AS (SELECT o_orderkey AS page, o_totalprice % 97 / 100 AS fusion_cer, o_totalprice % 89 / 100 AS paddle_cer, o_totalprice % 83 / 100 AS easyocr_cer FROM orders)"""
 
 
@@ -419,6 +512,31 @@ def pairing_optimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairing.optimal(scored).select("page_id", "source_id", "target_id", F.round("score", 6).alias("score"), "tier")
 
 
+def _two_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores where each page has one source and one target at most: the least block of its first lines, and of its second."""
+    blocks = _blocks(spark, sf_dir)
+    first = blocks.where("ord < 3").groupBy("page_id", "ord").agg(F.min("block_id").alias("block_id"))
+    blocks = blocks.join(first, ["page_id", "ord", "block_id"])
+    return pairing.scores(blocks.where("ord = 1"), blocks.where("ord = 2"))
+
+
+TWO_BLOCKS = """SELECT page_id, source_id, target_id, round(score, 6) AS score, CASE WHEN score >= 0.48 THEN 'high' WHEN score >= 0.44 THEN 'medium' ELSE 'low' END AS tier FROM (
+  WITH b AS (SELECT DISTINCT ON (page_id, block_id) * FROM (SELECT l_orderkey AS page_id, l_linenumber * 1000 + l_partkey % 1000 AS block_id, l_quantity * 14 AS y, l_linenumber % 3 AS col, l_linenumber AS ord, l_discount * 10 AS conf, l_tax > 0.04 AS mark, l_returnflag = 'R' AS comm FROM lineitem)),
+    f AS (SELECT * FROM b WHERE ord < 3 QUALIFY row_number() OVER (PARTITION BY page_id, ord ORDER BY block_id) = 1)
+  SELECT s.page_id, s.block_id AS source_id, t.block_id AS target_id, exp(-(abs(s.y - t.y) / 720.0) / 0.35) * 0.30 + (s.col = t.col)::INT * 0.30 + least(s.conf, t.conf) * 0.15 + (s.mark OR t.mark)::INT * 0.15 + (t.ord > s.ord)::INT * 0.10 - CASE WHEN t.comm THEN 0.35 ELSE 0 END AS score,
+    abs(s.y - t.y) / 720.0 AS far FROM f s JOIN f t USING (page_id) WHERE s.ord = 1 AND t.ord = 2) WHERE far <= 0.5 AND score >= 0.40"""
+
+
+@query(TWO_BLOCKS)
+def pairing_greedy_two_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairing.greedy(_two_blocks(spark, sf_dir)).select("page_id", "source_id", "target_id", F.round("score", 6).alias("score"), "tier")
+
+
+@query(TWO_BLOCKS)
+def pairing_optimal_two_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairing.optimal(_two_blocks(spark, sf_dir)).select("page_id", "source_id", "target_id", F.round("score", 6).alias("score"), "tier")
+
+
 @query("""SELECT page_id, source_id, target_id, round(score, 6) AS score FROM (
   WITH b AS (SELECT DISTINCT ON (page_id, block_id) * FROM (SELECT l_orderkey AS page_id, l_linenumber * 1000 + l_partkey % 1000 AS block_id, l_quantity * 14 AS y, l_linenumber % 3 AS col, l_linenumber AS ord, l_discount * 10 AS conf, l_tax > 0.04 AS mark, l_returnflag = 'R' AS comm FROM lineitem))
   SELECT s.page_id, s.block_id AS source_id, t.block_id AS target_id, exp(-(abs(s.y - t.y) / 720.0) / 0.35) * 0.30 + (s.col = t.col)::INT * 0.30 + least(s.conf, t.conf) * 0.15 + (s.mark OR t.mark)::INT * 0.15 + (t.ord > s.ord)::INT * 0.10 - CASE WHEN t.comm THEN 0.35 ELSE 0 END AS score,

@@ -108,8 +108,9 @@ def paddle_lines(df: DataFrame, keys: list[str], result: str = "result") -> Data
 
 
 def mmocr_lines(df: DataFrame, keys: list[str], texts: str = "texts", scores: str = "scores", polygons: str = "polygons") -> DataFrame:
-    """Parallel arrays; what is missing at the end of one is null."""
-    zipped = F.arrays_zip(F.col(texts).alias("t"), F.col(scores).alias("s"), F.col(polygons).alias("p"))
+    """Parallel arrays; what is missing at the end of one is null, and so are scores or polygons that are missing altogether."""
+    given = lambda c: F.coalesce(F.col(c), F.array().cast(df.schema[c].dataType))
+    zipped = F.arrays_zip(F.col(texts).alias("t"), given(scores).alias("s"), given(polygons).alias("p"))
     usable = F.slice(zipped, F.lit(1), F.greatest(F.size(F.col(texts)), F.lit(0)))
     return _lines(df, keys, F.transform(usable, lambda x: _item(x["t"], polygon_box(x["p"]), x["s"])))
 
