@@ -49,8 +49,8 @@ def enabled(names: list[str] | None) -> list[str]:
 def read_lines(pages: DataFrame, names: list[str] | None = None) -> DataFrame:
     """Lines of all enabled engines over pages, with engine and engine_ord; lines of other pages are dropped, once for all engines.
 
-    Sources may end in shuffles by page. A union then claims to be partitioned by page, too, and loses that when adaptive execution
-    changes one of its children while the query runs, though joins above it were planned to rely on it. So each part hands on its
+    Sources may end in shuffles by page. A union then claims to be partitioned by page, too, and seems to lose that when adaptive
+    execution changes one of its children while the query runs, though joins above it were planned to rely on it. So each part hands on its
     page ids as an expression, of which no partitioning is known, and what needs the union by page shuffles it.
     """
     opaque = F.bitwise_not(F.bitwise_not(F.col("page_id").cast("long")))
