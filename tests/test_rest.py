@@ -117,6 +117,42 @@ def test_pairing(spark):
     assert sorted((r.source_id, r.target_id) for r in pairing.optimal(scored).collect()) == [(1, 11), (2, 10)]
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def random_pairs(spark, pages):
+    """Scored pairs of pages of up to 5 by 5 blocks, and a plain list of each page's."""
+    import random
+
+    r = random.Random(5)
+    each = {p: [(s, 10 + t, r.choice((0.41, 0.5, 0.9, r.random()))) for s in range(r.randint(1, 5)) for t in range(r.randint(1, 5)) if r.random() < 0.7] for p in range(pages)}
+    rows = [(p, s, t, x, "low", True) for p, pairs in each.items() for s, t, x in pairs]
+    return spark.createDataFrame(rows, "page_id long, source_id long, target_id long, score double, tier string, interlinear boolean").repartition(5), each
+
+
+def batches_of(spark, rows):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def test_optimal_pairs_of_pages_across_batches(spark):
+    df, each = random_pairs(spark, 60)
+
+    def best(pairs, used=frozenset()):  # the greatest total, by trying all
+        return max((x + best(pairs[k + 1 :], used | {("s", s), ("t", t)}) for k, (s, t, x) in enumerate(pairs) if not {("s", s), ("t", t)} & used), default=0.0)
+
+    try:
+        batches_of(spark, 7)  # pages begin in one batch and end in another
+        got = pairing.optimal(df).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for p, pairs in each.items():
+        mine = [r for r in got if r.page_id == p]
+        assert len({r.source_id for r in mine}) == len({r.target_id for r in mine}) == len(mine)
+        assert {(r.source_id, r.target_id, r.score) for r in mine} <= set(pairs) and sum(r.score for r in mine) == pytest.approx(best(pairs))
+    assert "MapInArrow" in plan_of(pairing.optimal(df))  # no data frame for each page
+
+
 def test_images(spark):
     rgb = np.arange(4 * 6 * 3, dtype="uint8").reshape(4, 6, 3) * 3
     made = images.made(rgb, images.VARIANTS)
