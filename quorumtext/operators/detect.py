@@ -101,10 +101,12 @@ def qualify(features: DataFrame, profile: DetectionProfile = DetectionProfile())
             boost = F.when(F.col("perplexity") < limit, gain).otherwise(boost)
     n = F.greatest("n_tokens", F.lit(1))
     share = F.col("n_syllabic") / n
-    score = share + boost - F.least(F.lit(profile.negative_cap), F.col("n_negative") / n)
+    score = share + (boost - F.least(F.lit(profile.negative_cap), F.col("n_negative") / n))
+    # boosts and thresholds are decimals: a sum of them that meets the threshold may fall short of it in its last bits
+    reached = F.round("score", 9) if "perplexity" in features.columns else F.col("score")
     gate = (F.col("n_diacritics") >= profile.min_diacritics_per_line) | (F.col("n_markers") > 0) if profile.require_diacritic_or_marker else F.lit(True)
     enough = (F.col("n_syllabic") >= profile.min_syllabic_tokens) & (share >= profile.min_syllabic_ratio)
-    return features.withColumn("score", score).withColumn("qualifies", gate & enough & (F.col("score") >= profile.threshold))
+    return features.withColumn("score", score).withColumn("qualifies", gate & enough & (reached >= profile.threshold))
 
 
 def flag_pages(lines: DataFrame, keys: list[str], profile: DetectionProfile = DetectionProfile()) -> DataFrame:

@@ -73,6 +73,14 @@ def test_detection_with_perplexity(spark):
     assert not flagged(None) and flagged(model)
 
 
+def test_boosted_score_that_meets_the_threshold(spark):
+    from quorumtext.plans.queries import TIED
+
+    # 7 of 20 tokens, boost 0.3, penalty 0.15: 0.5 in decimals, less in floating point when summed in that order
+    row = spark.createDataFrame([(20, 7, 0, 0, 3, 10.0)], "n_tokens int, n_syllabic int, n_diacritics int, n_markers int, n_negative int, perplexity double")
+    assert detect.qualify(row, TIED).first().qualifies
+
+
 def test_char_model(spark, tmp_path):
     texts = spark.createDataFrame([("abab",), ("abc",), ("a",)], "text string")
     model = charlm.train(texts)
