@@ -161,6 +161,22 @@ def test_optimal_pairs_of_pages_across_batches(spark):
     assert "MapInArrow" in plan_of(pairing.optimal(df))  # no data frame for each page
 
 
+def test_first_of_rows_that_share_a_block(spark, tmp_path):
+    from quorumtext.plans.queries import QUERIES
+
+    names = "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_discount double, l_tax double, l_returnflag string"
+    side = lambda n, q: [(p, 5, n, q, 0.1, 0.05, "A") for p in range(300)]
+    files = {"a": side(1, 1.0) + side(2, 1.0), "b": side(1, 20.0) + side(2, 9.0) * 5}  # the larger file is read first
+    for name, rows in files.items():
+        spark.createDataFrame(rows, names).coalesce(1).write.parquet(str(tmp_path / name))
+        os.makedirs(tmp_path / "t/lineitem.parquet", exist_ok=True)
+        part = next(f for f in os.listdir(tmp_path / name) if f.startswith("part"))
+        os.rename(tmp_path / name / part, tmp_path / f"t/lineitem.parquet/{name}.parquet")
+    for q in ("pairing_scores", "pairing_greedy", "pairing_optimal", "pairing_greedy_two_blocks", "pairing_optimal_two_blocks"):
+        rows = QUERIES[q](spark, str(tmp_path / "t")).collect()
+        assert len(rows) == 300 and {r.score for r in rows} == {0.7}  # both first rows are at the same height
+
+
 def test_images(spark):
     rgb = np.arange(4 * 6 * 3, dtype="uint8").reshape(4, 6, 3) * 3
     made = images.made(rgb, images.VARIANTS)
