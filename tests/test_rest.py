@@ -161,6 +161,24 @@ def test_optimal_pairs_of_pages_across_batches(spark):
     assert "MapInArrow" in plan_of(pairing.optimal(df))  # no data frame for each page
 
 
+def test_greedy_pairs_in_one_pass(spark):
+    df, each = random_pairs(spark, 60)
+    want = []
+    for p, pairs in each.items():
+        used = set()
+        for s, t, x in sorted(pairs, key=lambda r: (-r[2], r[0], r[1])):
+            if not {("s", s), ("t", t)} & used:
+                used |= {("s", s), ("t", t)}
+                want.append((p, s, t, x))
+    try:
+        batches_of(spark, 7)
+        assert sorted((r.page_id, r.source_id, r.target_id, r.score) for r in pairing.greedy(df).collect()) == sorted(want)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    plan = plan_of(pairing.greedy(df))
+    assert "MapInArrow" in plan and plan.count("Exchange hashpartitioning") == 1 and "ExistingRDD" not in plan.split("MapInArrow")[0]
+
+
 def test_first_of_rows_that_share_a_block(spark, tmp_path):
     from quorumtext.plans.queries import QUERIES
 
