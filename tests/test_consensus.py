@@ -2,6 +2,7 @@ import random
 from difflib import SequenceMatcher
 
 import pytest
+from pyspark.sql import functions as F
 
 from quorumtext.functions.similarity import ratio
 from quorumtext.operators import fusion as U
@@ -77,6 +78,25 @@ def test_similarity_is_that_of_difflib():
     assert ratio(long, long[:200] + "x" + long[200:]) < 0.6  # popular characters are left out
 
 
+def test_similarity_of_popular_and_repeated_characters():
+    r = random.Random(4)
+    for n in range(600):
+        signs = r.choice(("ab", "ab c", "abcdefgh ij", "abcdefghijklmnopqrstuvwxyzéšß\U0001f600"))
+        a = "".join(r.choice(signs) for _ in range(r.choice((1, 20, 99, 199, 200, 300))))
+        b = "".join(c if r.random() > 0.1 else r.choice(signs + "#") for c in a)[r.randint(0, 5) :] if n % 2 else "".join(r.choice(signs) for _ in range(r.choice((1, 50, 199, 200, 201))))
+        assert ratio(a, b) == SequenceMatcher(None, a, b).ratio()
+
+
+def test_one_worker_compares_and_only_what_differs(spark, monkeypatch):
+    df = candidates(spark, DIACRITICS + OUTLIER)
+    scored = U.orientation_scores(U.fuse(df, keep_candidates=True))
+    assert scored._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    sent = F.udf(lambda a, b: [str((x, y)) for x, y in zip(a, b)], "array<string>")
+    monkeypatch.setattr(U, "similarities", lambda a, b: F.transform(sent(a, b), lambda x: F.lit(0.5) + F.assert_true(x == "(None, None)").cast("double")))
+    alike = candidates(spark, [(1, 0, 0, e, k, "šarrum\nund", 0.5, None) for k, e in enumerate("abcd")])
+    assert U.fuse(alike, keep_candidates=True).first().text == "šarrum\nund"  # nothing but nulls was sent
+
+
 LINE = "page_id long, line_no int, text string, bbox struct<x0:double,y0:double,x1:double,y1:double>, page_width double"
 
 
