@@ -114,9 +114,10 @@ def strip_diacritics(text: Column) -> Column:
 
 
 def fold_case(text: Column) -> Column:
-    """Case folding after strip_diacritics."""
-    folds = _tables()["folds"]
-    return F.translate(F.replace(F.lower(text), F.lit("ß"), F.lit("ss")), "".join(folds), "".join(folds.values()))
+    """Case folding after strip_diacritics. Only texts that go beyond ASCII need more than lower case."""
+    folds, lower = _tables()["folds"], F.lower(text)
+    folded = F.translate(F.replace(lower, F.lit("ß"), F.lit("ss")), "".join(folds), "".join(folds.values()))
+    return F.when(lower.rlike(r"[^\x00-\x7F]"), folded).otherwise(lower)
 
 
 def comparison_key(text: Column) -> Column:

@@ -1,14 +1,16 @@
 """Consensus of the candidates of a page at an angle.
 
 The few candidates of a page are one array, so scoring needs one grouping and no self-join; the pairs to compare are arrays too, and go
-through one Arrow UDF call. Pages that don't need a comparison (one candidate, or the other branch) send none.
+through one Arrow UDF call, in one Python worker for all of a page's comparisons. Equal and empty keys are settled before it; pages that
+don't need a comparison (one candidate, or the other branch) send none.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,12 +21,14 @@ from quorumtext.functions.text import alnum_ratio, comparison_key, completeness,
 PAGE = ("page_id", "angle", "angle_ord")
 
 
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def similarities(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Element by element similarity of two arrays of keys; pairs that repeat in a batch are matched once."""
+@F.arrow_udf(T.ArrayType(T.DoubleType()))
+def similarities(pairs: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Element by element similarity of two arrays of keys, null where a key is null; pairs that repeat in a batch are matched once."""
     for a, b in pairs:
         known = Ratios()
-        yield pd.Series([[known[pair] for pair in zip(p, q)] for p, q in zip(a, b)], dtype=object)
+        found = [None if x is None or y is None else known[x, y] for x, y in zip(a.flatten().to_pylist(), b.flatten().to_pylist())]
+        ends = np.cumsum([0, *a.value_lengths().to_pylist()], dtype="int32")
+        yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found, pa.float64()))
 
 
 def _weight(weights: dict[str, float] | None) -> callable:
@@ -41,11 +45,21 @@ def _mean_of(pairs: Column, at: callable) -> Column:
     return _mean(F.transform(F.filter(pairs, at), lambda p: p["s"]))
 
 
-def _scored(df: DataFrame, name: str, pairs: Column) -> DataFrame:
-    """Adds pairs, structs with keys a and b, with their similarity s."""
-    df = df.withColumn(name, pairs)
-    s = similarities(F.transform(name, lambda p: p["a"]), F.transform(name, lambda p: p["b"]))
-    return df.withColumn("_s", s).withColumn(name, F.zip_with(name, "_s", lambda p, x: p.withField("s", x))).drop("_s")
+def _settled(p: Column) -> Column:
+    """The similarity of a pair that needs no matching, else null."""
+    return F.when(p["a"] == p["b"], 1.0).when((p["a"] == "") | (p["b"] == ""), 0.0)
+
+
+def _scored(df: DataFrame, **pairs: Column) -> DataFrame:
+    """Adds arrays of pairs, structs with keys a and b, with their similarity s. All arrays go through one call."""
+    df = df.withColumns(pairs)
+    side = lambda k: F.concat(*[F.transform(name, lambda p: F.when(_settled(p).isNull(), p[k])) for name in pairs])
+    df, start = df.withColumn("_s", similarities(side("a"), side("b"))), F.lit(1)
+    done = {}
+    for name in pairs:
+        done[name] = F.zip_with(name, F.slice("_s", start, F.size(name)), lambda p, x: p.withField("s", F.coalesce(_settled(p), x)))
+        start = start + F.size(name)
+    return df.withColumns(done).drop("_s")
 
 
 def gathered(candidates: DataFrame) -> DataFrame:
@@ -64,8 +78,12 @@ def _whole_pairs(c: Column, wanted: Column) -> Column:
 def whole_scores(df: DataFrame, weights: dict[str, float] | None = None, wanted: Column | None = None) -> DataFrame:
     """Adds whole: per candidate its score as a whole text (empty where not wanted)."""
     wanted = F.lit(True) if wanted is None else wanted
+    return _whole(_scored(df, wp=_whole_pairs(F.col("c"), wanted)), weights, wanted)
+
+
+def _whole(df: DataFrame, weights: dict[str, float] | None, wanted: Column) -> DataFrame:
+    """whole from the scored pairs wp."""
     weight = _weight(weights)
-    df = _scored(df, "wp", _whole_pairs(F.col("c"), wanted))
     score = lambda x, i: (
         weight(x["engine"]) * 0.35 + _mean_of(F.col("wp"), lambda p: p["i"] == i) + x["richness"] * 0.4 + completeness(x["text"]) * 0.1
         + F.greatest(x["confidence"], F.lit(0.0)) * 0.15 + F.least(F.coalesce(x["line_count"], F.lit(0)) / 12.0, F.lit(1.0)) * 0.12
@@ -75,14 +93,25 @@ def whole_scores(df: DataFrame, weights: dict[str, float] | None = None, wanted:
 
 def line_scores(df: DataFrame, weights: dict[str, float] | None = None, wanted: Column | None = None) -> DataFrame:
     """Adds options: per line number an array of (score, -place, line) over the candidates (empty where not wanted)."""
-    wanted = F.lit(True) if wanted is None else wanted
-    weight = _weight(weights)
+    df = _with_rows(df, F.lit(True) if wanted is None else wanted)
+    return _options(_scored(df, lp=_line_pairs()), weights)
+
+
+def _with_rows(df: DataFrame, wanted: Column) -> DataFrame:
+    """Adds rows: per line number the candidates' lines."""
     numbers = F.when(wanted, F.sequence(F.lit(0), F.size(F.get("c", F.lit(0))["lines"]) - 1)).otherwise(F.array().cast("array<int>"))
-    df = df.withColumn("rows", F.transform(numbers, lambda n: F.transform("c", lambda x, i: F.struct(
+    return df.withColumn("rows", F.transform(numbers, lambda n: F.transform("c", lambda x, i: F.struct(
         n.alias("n"), i.alias("i"), x["engine"].alias("engine"), x["confidence"].alias("confidence"), F.get(x["lines"], n).alias("line"), comparison_key(F.get(x["lines"], n)).alias("key")
     ))))
-    pairs = F.flatten(F.transform("rows", lambda row: F.flatten(F.transform(row, lambda x: F.transform(F.filter(row, lambda y: y["line"] != x["line"]), lambda y: F.struct(x["n"].alias("n"), x["i"].alias("i"), x["key"].alias("a"), y["key"].alias("b")))))))
-    df = _scored(df, "lp", pairs)
+
+
+def _line_pairs() -> Column:
+    return F.flatten(F.transform("rows", lambda row: F.flatten(F.transform(row, lambda x: F.transform(F.filter(row, lambda y: y["line"] != x["line"]), lambda y: F.struct(x["n"].alias("n"), x["i"].alias("i"), x["key"].alias("a"), y["key"].alias("b")))))))
+
+
+def _options(df: DataFrame, weights: dict[str, float] | None) -> DataFrame:
+    """options from rows and the scored pairs lp."""
+    weight = _weight(weights)
     score = lambda x: (
         weight(x["engine"]) * 0.35 + _mean_of(F.col("lp"), lambda p: (p["n"] == x["n"]) & (p["i"] == x["i"])) + diacritic_richness(x["line"]) * 0.45
         + F.when(contains_arabic(x["line"]), 0.15).otherwise(0.0) + x["confidence"] * 0.1
@@ -91,16 +120,22 @@ def line_scores(df: DataFrame, weights: dict[str, float] | None = None, wanted:
     return df.withColumn("options", options).drop("rows", "lp")
 
 
+def _orientation_pairs() -> Column:
+    return F.flatten(F.transform("c", lambda x, i: F.transform(F.filter("c", lambda y, j: j > i), lambda y: F.struct(x["key"].alias("a"), y["key"].alias("b")))))
+
+
 def fuse(candidates: DataFrame, weights: dict[str, float] | None = None, keep_candidates: bool = False) -> DataFrame:
     """One row per page and angle that has a candidate with text.
 
     One candidate stays as it is; equal numbers of lines are fused line by line, the best option of each; otherwise the best whole text
-    wins. Ties go to the engine that comes first.
+    wins. Ties go to the engine that comes first. Kept candidates (c) come with the pairs that orientation_scores() compares (op).
     """
     df = gathered(candidates).withColumn("n", F.size("c"))
     counts = F.transform("c", lambda x: F.size(x["lines"]))
     df = df.withColumn("branch", F.when(F.col("n") == 1, "one").when(F.array_min(counts) == F.array_max(counts), "lines").otherwise("whole"))
-    df = line_scores(whole_scores(df, weights, F.col("branch") == "whole"), weights, F.col("branch") == "lines")
+    whole, lines = F.col("branch") == "whole", F.col("branch") == "lines"
+    pairs = {"wp": _whole_pairs(F.col("c"), whole), "lp": _line_pairs()} | ({"op": _orientation_pairs()} if keep_candidates else {})
+    df = _options(_whole(_scored(_with_rows(df, lines), **pairs), weights, whole), weights)
     best = F.get("c", -F.array_max(F.transform("whole", lambda s, i: F.struct(s.alias("s"), (-i).alias("place"))))["place"])
     first, engines = F.get("c", F.lit(0)), F.transform("c", lambda x: x["engine"])
     fused = normalize_whitespace(F.array_join(F.transform("options", lambda o: F.array_max(o)["line"]), "\n"))
@@ -117,15 +152,14 @@ def fuse(candidates: DataFrame, weights: dict[str, float] | None = None, keep_ca
         by(none.cast("string"), none.cast("string"), F.col("best.engine")).alias("winner"),
         by(none.cast("array<string>"), engines, none.cast("array<string>")).alias("sources"),
         engines.alias("engines_used"),
-        "c",
+        *(["c", "op"] if keep_candidates else []),
     )
-    return done if keep_candidates else done.drop("c")
+    return done
 
 
 def orientation_scores(fused: DataFrame) -> DataFrame:
     """fused with keep_candidates -> with score: how much a page at this angle looks like text read upright."""
-    pairs = F.flatten(F.transform("c", lambda x, i: F.transform(F.filter("c", lambda y, j: j > i), lambda y: F.struct(x["key"].alias("a"), y["key"].alias("b")))))
-    df = _scored(fused, "op", pairs)
+    df = fused if "op" in fused.columns else _scored(fused, op=_orientation_pairs())
     text = strip(F.col("text"))
     confidence = F.aggregate("c", F.lit(0.0), lambda a, x: a + x["confidence"]) / F.size("c")
     score = (
