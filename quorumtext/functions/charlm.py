@@ -1,6 +1,6 @@
 """Character n-gram model as two tables: counts of n-grams and of their contexts, additive smoothing.
 
-The tables are bounded by the alphabet, so Spark may broadcast them by their measured size; scoring is an explode, two joins and a mean.
+The tables are bounded by the alphabet and broadcast where they count few rows; scoring is an explode, two joins and a mean.
 """
 
 from __future__ import annotations
@@ -11,6 +11,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quorumtext.plans.session import cut_lineage
+
+#: Longest n-grams of a model that joins still broadcast, some 100 MB.
+BROADCAST_ROWS = 1_000_000
+
 
 @dataclass
 class CharLM:
@@ -41,12 +46,17 @@ def grams(text: Column, n: int) -> Column:
 
 
 def train(texts: DataFrame, order: int = 3, alpha: float = 0.1) -> CharLM:
-    """Counts over all rows' text, summed before the shuffle."""
-    tables = [texts.select(F.lit(n).alias("n"), F.explode(grams(F.col("text"), n)).alias("gram")) for n in range(1, order + 1)]
-    every = tables[0]
-    for t in tables[1:]:
-        every = every.unionByName(t)
-    ngrams = every.groupBy("n", "gram").agg(F.count(F.lit(1)).alias("cnt"))
+    """Counts over all rows' text, summed before the shuffle. Only the longest n-grams are spelled out: shorter ones are their beginnings,
+    and those in a text's last order - 1 characters."""
+    top = texts.select(F.explode(grams(F.col("text"), order)).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("cnt"))
+    begun = top.select(F.explode(F.sequence(F.lit(1), F.lit(order))).alias("n"), "gram", "cnt").withColumn("gram", F.expr("substring(gram, 1, n)"))
+    if order > 1:
+        tail = F.expr(f"right(text, {order - 1})")
+        ends = F.array(*[F.struct(F.lit(n).alias("n"), grams(tail, n).alias("g")) for n in range(1, order)])
+        short = texts.select(F.inline(ends)).select("n", F.explode("g").alias("gram"), F.lit(1).cast("long").alias("cnt"))
+        begun = begun.unionByName(short)
+    # few rows, which each step after this one reads again
+    ngrams = cut_lineage(begun.groupBy("n", "gram").agg(F.sum("cnt").alias("cnt")))
     contexts = ngrams.where("n > 1").groupBy("n", F.expr("substring(gram, 1, n - 1)").alias("gram")).agg(F.sum("cnt").alias("cnt"))
     return CharLM(ngrams, contexts, order, alpha, ngrams.where("n = 1").count())
 
@@ -56,9 +66,11 @@ def perplexity(texts: DataFrame, model: CharLM, keys: list[str]) -> DataFrame:
     each = texts.select(*keys, F.explode(grams(F.col("text"), model.order)).alias("gram"))
     top = model.ngrams.where(F.col("n") == model.order).select("gram", F.col("cnt").alias("c"))
     under = model.contexts.where(F.col("n") == model.order).select(F.col("gram").alias("context"), F.col("cnt").alias("k"))
-    # equal n-grams of a text meet before the join
-    counted = each.groupBy(*keys, "gram").agg(F.count(F.lit(1)).alias("times")).withColumn("context", F.substring("gram", 1, model.order - 1))
-    joined = counted.join(top, "gram", "left").join(under, "context", "left")
+    if top.count() <= BROADCAST_ROWS:
+        top, under, counted = F.broadcast(top), F.broadcast(under), each.withColumn("times", F.lit(1).cast("long"))
+    else:  # equal n-grams of a text meet before the join
+        counted = each.groupBy(*keys, "gram").agg(F.count(F.lit(1)).alias("times"))
+    joined = counted.withColumn("context", F.substring("gram", 1, model.order - 1)).join(top, "gram", "left").join(under, "context", "left")
     loss = -F.log((F.coalesce("c", F.lit(0)) + model.alpha) / (F.coalesce("k", F.lit(0)) + model.alpha * model.symbols))
     scored = joined.groupBy(*keys).agg(F.sum("times").alias("n_grams"), F.exp(F.sum(F.col("times") * loss) / F.sum("times")).alias("perplexity"))
     return texts.select(*keys).join(scored, keys, "left").withColumn("n_grams", F.coalesce("n_grams", F.lit(0)))

@@ -92,6 +92,30 @@ def test_char_model(spark, tmp_path):
     assert charlm.load(spark, str(path)).ngrams.first().cnt == 3
 
 
+def test_char_model_counts_and_reads_texts_once(spark):
+    texts = ["", "a", "ab", "abc", "aab šé\U0001f600x", "abcabc\n", None]
+    want = {}
+    for t in texts:
+        for n in (1, 2, 3):
+            for i in range(len(t or "") - n + 1):
+                want[n, t[i : i + n]] = want.get((n, t[i : i + n]), 0) + 1
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    model = charlm.train(df)
+    assert {(r.n, r.gram): r.cnt for r in model.ngrams.collect()} == want
+    assert model.ngrams.dtypes == [("n", "int"), ("gram", "string"), ("cnt", "bigint")]
+    assert "Generate" not in plan_of(model.contexts) and model.symbols == len({g for n, g in want if n == 1})  # the texts aren't read again
+
+
+def test_perplexity_with_a_model_too_large_to_broadcast(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a-na a-na a-na"), (2, "qi-bi-ma"), (3, "")], "id long, text string")
+    model = charlm.train(df.where("id < 2"))
+    small = {r.id: r for r in charlm.perplexity(df, model, ["id"]).collect()}
+    monkeypatch.setattr(charlm, "BROADCAST_ROWS", 0)
+    large = {r.id: r for r in charlm.perplexity(df, model, ["id"]).collect()}
+    for k in (1, 2, 3):
+        assert small[k].n_grams == large[k].n_grams and small[k].perplexity == pytest.approx(large[k].perplexity)
+
+
 def test_perplexity_of_all_documents(spark, tmp_path):
     from quorumtext.plans.queries import QUERIES
 
