@@ -8,15 +8,17 @@ from __future__ import annotations
 
 import sys
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Where Python's splitlines() ends a line, and what its \s matches.
-LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+#: Where Python's splitlines() ends a line, and what its \s matches. Printable ASCII is ruled out first: a class of many parts is slow to match.
+LINE_BREAK = r"(?![ -~])(?:\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}])"
+WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 SPACE = r"[\t-\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_SPACE = f"[[^!-~]&&{SPACE}]"
 
 # The blocks that count as Arabic script.
 ARABIC_BLOCKS = ((0x0600, 0x06FF), (0x0750, 0x077F), (0x08A0, 0x08FF), (0xFB50, 0xFDFF), (0xFE70, 0xFEFF))
@@ -64,20 +66,29 @@ def marks_class() -> str:
     return char_class(_tables()["marks"])
 
 
+def named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once however often use has it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def goes_beyond_ascii(text: Column) -> Column:
+    return F.octet_length(text) > F.length(text)
+
+
 def squeeze(text: Column) -> Column:
-    """Runs of white space to one blank, none at the ends."""
-    return F.btrim(F.regexp_replace(text, F.lit(SPACE + "+"), F.lit(" ")))
+    """Runs of white space to one blank, none at the ends. Single blanks stay as they are."""
+    return F.btrim(F.regexp_replace(text, F.lit(rf" {_SPACE}+|[[^ -~]&&{SPACE}]{_SPACE}*"), F.lit(" ")))
 
 
 def strip(text: Column) -> Column:
     """Python's strip(): Unicode white space off both ends."""
-    return F.regexp_replace(text, F.lit(rf"\A{SPACE}+|{SPACE}+\z"), F.lit(""))
+    return F.btrim(text, F.lit(WHITE))
 
 
 def split_lines(text: Column) -> Column:
     """Stripped lines that aren't empty; the stripped text alone if there is none, so never an empty array."""
     lines = F.filter(F.transform(F.split(text, LINE_BREAK, -1), strip), lambda x: x != "")
-    return F.when(F.size(lines) > 0, lines).otherwise(F.array(strip(text)))
+    return named(lines, lambda found: F.when(F.size(found) > 0, found).otherwise(F.array(strip(text))))
 
 
 def normalize_whitespace(text: Column) -> Column:
@@ -110,14 +121,14 @@ def strip_diacritics(text: Column) -> Column:
     several = char_class([*map(ord, t["several"]), *range(HANGUL, 0xD7A4)])
     expanded = F.when(beyond_ascii(text).rlike(several), _spelled_out(text)).otherwise(text)
     one = t["one"]
-    return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(expanded, "".join(one) + "".join(t["gone"]), "".join(one.values()))).otherwise(text)
+    return F.when(goes_beyond_ascii(text), F.translate(expanded, "".join(one) + "".join(t["gone"]), "".join(one.values()))).otherwise(text)
 
 
 def fold_case(text: Column) -> Column:
     """Case folding after strip_diacritics. Only texts that go beyond ASCII need more than lower case."""
-    folds, lower = _tables()["folds"], F.lower(text)
-    folded = F.translate(F.replace(lower, F.lit("ß"), F.lit("ss")), "".join(folds), "".join(folds.values()))
-    return F.when(lower.rlike(r"[^\x00-\x7F]"), folded).otherwise(lower)
+    folds = _tables()["folds"]
+    folded = lambda lower: F.translate(F.replace(lower, F.lit("ß"), F.lit("ss")), "".join(folds), "".join(folds.values()))
+    return named(F.lower(text), lambda lower: F.when(goes_beyond_ascii(lower), folded(lower)).otherwise(lower))
 
 
 def comparison_key(text: Column) -> Column:
@@ -142,8 +153,7 @@ def diacritic_richness(text: Column) -> Column:
     """Per character: 1 for a combining mark or a letter beyond ASCII, 2 for an Arabic sign that isn't a letter. Not normalized first."""
     marks, arabic = char_class(_tables()["marks"]), char_class(_tables()["arabic"])
     score = lambda rest: _hits(rest, f"[\\p{{L}}{marks}]") + F.when(rest.rlike(r"[\u0600-\uFEFF\x{10000}-\x{10FFFF}]"), 2 * _hits(rest, f"[{arabic}&&[^{marks[1:-1]}]]")).otherwise(0)
-    score = F.element_at(F.transform(F.array(beyond_ascii(text)), score), 1)
-    return F.when(text.rlike(r"[^\x00-\x7F]"), score / F.greatest(F.length(text), F.lit(1))).otherwise(F.lit(0.0))
+    return F.when(goes_beyond_ascii(text), named(beyond_ascii(text), score) / F.greatest(F.length(text), F.lit(1))).otherwise(F.lit(0.0))
 
 
 def alnum_ratio(text: Column) -> Column:

@@ -98,22 +98,26 @@ def line_scores(df: DataFrame, weights: dict[str, float] | None = None, wanted:
 
 
 def _with_rows(df: DataFrame, wanted: Column) -> DataFrame:
-    """Adds rows: per line number the candidates' lines."""
+    """Adds rows: per line number the candidates' lines. The key of an only line is that of the text."""
+    key = lambda x, n: F.when(F.size(x["lines"]) == 1, F.when(n == 0, x["key"])).otherwise(comparison_key(F.get(x["lines"], n)))
     numbers = F.when(wanted, F.sequence(F.lit(0), F.size(F.get("c", F.lit(0))["lines"]) - 1)).otherwise(F.array().cast("array<int>"))
     return df.withColumn("rows", F.transform(numbers, lambda n: F.transform("c", lambda x, i: F.struct(
-        n.alias("n"), i.alias("i"), x["engine"].alias("engine"), x["confidence"].alias("confidence"), F.get(x["lines"], n).alias("line"), comparison_key(F.get(x["lines"], n)).alias("key")
+        n.alias("n"), i.alias("i"), x["engine"].alias("engine"), x["confidence"].alias("confidence"), F.get(x["lines"], n).alias("line"), key(x, n).alias("key")
     ))))
 
 
 def _line_pairs() -> Column:
-    return F.flatten(F.transform("rows", lambda row: F.flatten(F.transform(row, lambda x: F.transform(F.filter(row, lambda y: y["line"] != x["line"]), lambda y: F.struct(x["n"].alias("n"), x["i"].alias("i"), x["key"].alias("a"), y["key"].alias("b")))))))
+    """For each line and candidate one pair with every candidate, in order, so that they are found by place; keys are null where the lines
+    are equal."""
+    pair = lambda x, y: F.when(x["line"] != y["line"], F.struct(x["key"].alias("a"), y["key"].alias("b"))).otherwise(F.struct(F.lit(None).cast("string").alias("a"), F.lit(None).cast("string").alias("b")))
+    return F.flatten(F.transform("rows", lambda row: F.flatten(F.transform(row, lambda x: F.transform(row, lambda y: pair(x, y))))))
 
 
 def _options(df: DataFrame, weights: dict[str, float] | None) -> DataFrame:
     """options from rows and the scored pairs lp."""
     weight = _weight(weights)
     score = lambda x: (
-        weight(x["engine"]) * 0.35 + _mean_of(F.col("lp"), lambda p: (p["n"] == x["n"]) & (p["i"] == x["i"])) + diacritic_richness(x["line"]) * 0.45
+        weight(x["engine"]) * 0.35 + _mean_of(F.slice("lp", (x["n"] * F.size("c") + x["i"]) * F.size("c") + 1, F.size("c")), lambda p: p["a"].isNotNull()) + diacritic_richness(x["line"]) * 0.45
         + F.when(contains_arabic(x["line"]), 0.15).otherwise(0.0) + x["confidence"] * 0.1
     )
     options = F.transform("rows", lambda row: F.transform(row, lambda x: F.struct(score(x).alias("score"), (-x["i"]).alias("place"), x["line"].alias("line"))))

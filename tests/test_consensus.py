@@ -87,6 +87,36 @@ def test_similarity_of_popular_and_repeated_characters():
         assert ratio(a, b) == SequenceMatcher(None, a, b).ratio()
 
 
+def test_matching_does_not_search_again_for_what_a_range_cannot_hold():
+    class Searched(str):
+        times = 0
+
+        def find(self, *args):
+            Searched.times += 1
+            return super().find(*args)
+
+    shared = [chr(0x400 + k) for k in range(95)]
+    a, b = "".join(c + "1" for c in shared), "".join(c + "2" for c in shared)  # blocks of one character each
+    assert ratio(a, Searched(b)) == SequenceMatcher(None, a, b).ratio() and Searched.times < 400
+
+
+def test_line_scores_on_pages_of_several_lines(spark):
+    from tests.test_text import plain_key, plain_richness
+
+    r = random.Random(6)
+    pages, rows = {}, []
+    for p in range(30):
+        lines = ["x" + "".join(r.choice("ab šé") for _ in range(r.randint(1, 30))) + "x" for _ in range(r.choice((1, 1, 2, 7)))]
+        pages[p] = [[x if r.random() < 0.4 else x.replace("a", r.choice("aáu")) for x in lines] for _ in range(r.randint(2, 4))]
+        rows += [(p, 0, 0, e, k, " \n".join(x), 0.5, None) for k, (e, x) in enumerate(zip("abcd", pages[p]))]
+    for row in U.line_scores(U.gathered(candidates(spark, rows))).collect():
+        for n, options in enumerate(row.options):
+            read = [c[n] for c in pages[row.page_id]]
+            for x, option in zip(read, options):
+                sims = [SequenceMatcher(None, plain_key(x), plain_key(y)).ratio() for y in read if y != x]
+                assert option.line == x and option.score == pytest.approx(0.35 + (sum(sims) / len(sims) if sims else 0) + plain_richness(x) * 0.45 + 0.05)
+
+
 def test_one_worker_compares_and_only_what_differs(spark, monkeypatch):
     df = candidates(spark, DIACRITICS + OUTLIER)
     scored = U.orientation_scores(U.fuse(df, keep_candidates=True))

@@ -62,3 +62,8 @@ def test_richness(spark, given, richness):
 def test_names(spark):
     got = spark.range(1).select(T.page_file_name(F.lit("Alp, spasiya and x.PDF"), F.lit(2)), T.engine_at_angle(F.lit("paddle"), F.lit(90)), T.escape_newlines(F.lit("a\nb"))).first()
     assert tuple(got) == ("Alp_spasiya_and_x_page_2.pdf", "paddle@90", "a\\nb")
+
+
+def test_keys_lower_a_text_once(spark):
+    plan = spark.range(1).select(T.comparison_key(F.concat(F.col("id").cast("string"), F.lit("É"))).alias("k"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 1
