@@ -125,6 +125,40 @@ def test_perplexity_of_all_documents(spark, tmp_path):
     assert got[1].perplexity < got[2].perplexity and got[3].perplexity is None
 
 
+def test_texts_are_not_spelled_out_as_rows(spark):
+    df = spark.createDataFrame([(1, "a-na a-na a-na"), (1, "a-na"), (2, "a"), (3, None), (None, "qi-bi")], "id long, text string").repartition(2)
+    model = charlm.train(df)
+    scored = charlm.perplexity(df, model, ["id"])
+    assert "Generate" not in plan_of(scored) and "MapInArrow" in plan_of(scored)
+    tables = [t.where("n = 3").select("gram", "cnt") for t in (model.ngrams, model.contexts)]
+    losses = charlm._joined_losses(df, model, ["id"], *tables).where("id = 1").collect()
+    got = scored.collect()
+    assert sorted((r.id or 0, r.n_grams) for r in got) == [(0, 0), (1, 14), (1, 14), (2, 0), (3, 0)]  # rows that share a key are one text
+    assert [r.perplexity for r in got if r.id == 1] == pytest.approx([np.exp(sum(r.loss for r in losses) / 14)] * 2)
+
+
+@pytest.mark.parametrize("dense, part", [(1 << 22, 1 << 20), (0, 1 << 20), (50, 9)])
+def test_n_grams_by_code(monkeypatch, dense, part):
+    import random
+    from collections import Counter
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(charlm, "DENSE", dense)
+    monkeypatch.setattr(charlm, "PART_BYTES", part)
+    r = random.Random(7)
+    texts = [None if r.random() < 0.1 else "".join(r.choice("ab é\U0001f600") for _ in range(r.choice((0, 1, 2, 3, 40)))) for _ in range(60)]
+    want, got = Counter((n, t[i : i + n]) for t in texts if t for n in range(1, 6) for i in range(len(t) - n + 1)), Counter()
+    for _, _, joined, points, lengths in charlm._parts(pa.array(texts)):
+        for gram, count in charlm._counted(joined, points, lengths, 5) if joined else ():
+            got[gram] += count
+    assert got == want
+    place = np.zeros(charlm._POINTS, "int64")
+    place[[ord(c) for c in "abc"]] = 1, 2, 3
+    logs = charlm._Logs(pa.table({"gram": ["ab", "ca", "abc"], "cnt": [5, 2, 9]}), 2, 0.5, place, 4)
+    assert logs(charlm._codes(np.array([1, 2, 0, 3, 1]), 2, 4)) == pytest.approx(np.log([5.5, 0.5, 0.5, 2.5, 0.5]))
+
+
 def test_guard(spark):
     rows = spark.createDataFrame([("šarrum a", "šarrum b", False), ("šarrum a", "sarrum a", False), ("a\nb", "a b", False), ("abcdefgh", "abcdefgX", True)], "before string, after string, is_akkadian boolean")
     assert [r.accepted for r in guard.accept(rows).collect()] == [True, False, False, False]
