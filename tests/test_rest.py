@@ -253,6 +253,18 @@ def test_first_of_rows_that_share_a_block(spark, tmp_path):
         assert len(rows) == 300 and {r.score for r in rows} == {0.7}  # both first rows are at the same height
 
 
+@pytest.mark.parametrize("name", ["pairing_greedy_two_blocks", "pairing_optimal_two_blocks"])
+def test_two_blocks_move_only_first_and_second_lines_once(spark, tmp_path, name):
+    from quorumtext.plans.queries import QUERIES
+
+    names = "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_discount double, l_tax double, l_returnflag string"
+    spark.createDataFrame([(1, 5, 1, 1.0, 0.1, 0.05, "A"), (1, 5, 2, 1.0, 0.1, 0.05, "A")], names).write.parquet(str(tmp_path / "lineitem.parquet"))
+    plan = plan_of(QUERIES[name](spark, str(tmp_path)))
+    assert plan.count("Exchange hashpartitioning(page_id") == 2 and "ExistingRDD" not in plan  # a side each, nothing checkpointed
+    for side in plan.split("Exchange hashpartitioning(page_id")[1:]:
+        assert "l_linenumber" in side.split("Filter", 1)[1].split("\n")[0]  # filtered before it moves
+
+
 def test_images(spark):
     rgb = np.arange(4 * 6 * 3, dtype="uint8").reshape(4, 6, 3) * 3
     made = images.made(rgb, images.VARIANTS)
