@@ -265,6 +265,24 @@ def test_two_blocks_move_only_first_and_second_lines_once(spark, tmp_path, name)
         assert "l_linenumber" in side.split("Filter", 1)[1].split("\n")[0]  # filtered before it moves
 
 
+@pytest.mark.parametrize("name", ["pairing_scores", "pairing_greedy_two_blocks", "pairing_optimal_two_blocks"])
+def test_rows_without_a_block_id_pair_as_in_sql(spark, tmp_path, name):
+    import duckdb
+
+    from quorumtext.plans.queries import ORACLE, QUERIES
+
+    line = lambda page, part, n: (page, part, n, 1.0, 0.1, 0.05, "A")
+    rows = [line(1, None, 1), line(1, 5, 1), line(1, 6, 2), line(1, None, 2)]  # known blocks come before unknown ones
+    rows += [line(2, None, 1), line(2, None, 2), line(3, 7, None), line(3, None, 1), line(3, 8, 2), line(4, None, 1), line(4, 9, 2)]  # unknown ones are one block
+    names = "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_discount double, l_tax double, l_returnflag string"
+    spark.createDataFrame(rows, names).coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    db = duckdb.connect()
+    db.execute("SET threads = 1")
+    db.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    want = db.execute(ORACLE[name]).fetchall()
+    assert sorted(map(tuple, QUERIES[name](spark, str(tmp_path)).collect()), key=repr) == sorted(want, key=repr) and len(want) >= 2
+
+
 def test_images(spark):
     rgb = np.arange(4 * 6 * 3, dtype="uint8").reshape(4, 6, 3) * 3
     made = images.made(rgb, images.VARIANTS)
