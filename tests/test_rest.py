@@ -283,6 +283,15 @@ def test_rows_without_a_block_id_pair_as_in_sql(spark, tmp_path, name):
     assert sorted(map(tuple, QUERIES[name](spark, str(tmp_path)).collect()), key=repr) == sorted(want, key=repr) and len(want) >= 2
 
 
+def test_optimal_pairs_of_odd_scores_and_ids(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, 1, 10, nan), (2, None, 10, 0.9), (2, 2, 10, 0.8), (2, None, None, 0.5), (3, 1, 10, inf), (3, 1, 11, 0.9), (3, 2, 10, 0.9), (3, 2, 11, 0.5), (4, 1, 10, -inf), (4, 2, 10, 0.5)]
+    assert pairing._best_total([(1, 10, nan)]) == [0]
+    df = spark.createDataFrame([(*r, "low", True) for r in rows], "page_id long, source_id long, target_id long, score double, tier string, interlinear boolean")
+    got = {(r.page_id, r.source_id, r.target_id) for r in pairing.optimal(df).collect()}
+    assert got == {(1, 1, 10), (2, 2, 10), (2, None, None), (3, 1, 10), (3, 2, 11), (4, 2, 10)}
+
+
 def test_images(spark):
     rgb = np.arange(4 * 6 * 3, dtype="uint8").reshape(4, 6, 3) * 3
     made = images.made(rgb, images.VARIANTS)
